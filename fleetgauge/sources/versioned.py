@@ -1,0 +1,168 @@
+"""A Parquet table that is replaced in one step, with append-only logs beside it.
+
+    <path>/data/<uuid>/...            written first, never changed
+    <path>/commits/<20 digits>.json   written last; names the data of a version
+    <path>/logs/<log>/commit=<n>/     rows that version n appended
+
+A plan may read the version that it replaces, readers see the old or the new
+version and never half of one, and a failed job leaves the table as it was. A
+commit file is renamed into place only if there is none of that number, so of
+two writers that started from one version the second gets :class:`CommitConflict`.
+
+Appended rows are part of the commit too: they are written as data and moved to
+their log after it. Should the writer die in between, readers still find them
+through the commit, and the next writer moves them.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import dataclass, field
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed this version first."""
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    parts: dict[str, str] = field(default_factory=dict)
+    appended: dict[str, str] = field(default_factory=dict)
+    properties: dict = field(default_factory=dict)
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self._hadoop = spark._jvm.org.apache.hadoop
+        self._fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    # --- reading
+
+    def latest(self) -> Version:
+        numbers = self._numbers()
+        return self._load(numbers[-1]) if numbers else Version(0)
+
+    def read(self, part: str, schema: StructType | None = None,
+             version: Version | None = None) -> DataFrame:
+        """One part of the latest (or the given) version.
+
+        With a schema, a part that was never written is an empty frame.
+        """
+        version = version or self.latest()
+        if part in version.parts:
+            return self.spark.read.parquet(f"{self.path}/{version.parts[part]}")
+        if schema is None:
+            raise LookupError(f"{self.path} has no part {part} in version {version.number}")
+        return self.spark.createDataFrame([], schema)
+
+    def read_log(self, log: str, schema: StructType) -> DataFrame:
+        """All rows that the committed versions appended to ``log``."""
+        columns = schema.names
+        rows = self.spark.createDataFrame([], schema)
+        if self.exists(f"logs/{log}"):
+            rows = self.spark.read.schema(schema).parquet(f"{self.path}/logs/{log}").select(columns)
+        pending = self.latest().appended.get(log)
+        if pending and self.exists(pending):
+            waiting = self.spark.read.schema(schema).parquet(f"{self.path}/{pending}")
+            rows = rows.unionByName(waiting.select(columns))
+        return rows
+
+    def exists(self, place: str) -> bool:
+        return self._fs.exists(self._at(place))
+
+    # --- writing
+
+    def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> str:
+        """Write data that no version names yet; returns its place."""
+        place = f"data/{uuid.uuid4().hex}/{name}"
+        writer = df.write.option("compression", "snappy")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(f"{self.path}/{place}")
+        return place
+
+    def commit(self, base: Version, parts: dict[str, str], appended: dict[str, str] | None = None,
+               properties: dict | None = None) -> Version:
+        """Make ``parts`` the version after ``base`` and append to the logs."""
+        version = Version(base.number + 1, parts, appended or {}, properties or {})
+        self._move_appended(base)
+        draft = self._at(f"commits/{uuid.uuid4().hex}.draft")
+        out = self._fs.create(draft, False)
+        try:
+            out.write(bytearray(json.dumps({
+                "parts": version.parts, "appended": version.appended,
+                "properties": version.properties}), "utf-8"))
+        finally:
+            out.close()
+        try:
+            self._rename_if_new(draft, self._commit_file(version.number))
+        except Py4JJavaError as error:
+            self._fs.delete(draft, False)
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                raise CommitConflict(f"version {version.number} of {self.path} exists") from error
+            raise
+        self._move_appended(version)
+        return version
+
+    def replace(self, part: str, df: DataFrame) -> Version:
+        """Write one part and commit it as the new version."""
+        base = self.latest()
+        return self.commit(base, {**base.parts, part: self.write(df, part)})
+
+    def prune(self, keep: int) -> None:
+        """Delete all but the newest ``keep`` versions and the data only they use.
+
+        Logs stay.
+        """
+        numbers = self._numbers()
+        if len(numbers) <= keep:
+            return
+        in_use = {place for n in numbers[-keep:] for place in self._load(n).parts.values()}
+        for number in numbers[:-keep]:
+            for place in set(self._load(number).parts.values()) - in_use:
+                self._fs.delete(self._at(place), True)
+            self._fs.delete(self._commit_file(number), False)
+
+    # --- files
+
+    def _at(self, place: str):
+        return self._hadoop.fs.Path(f"{self.path}/{place}" if place else self.path)
+
+    def _commit_file(self, number: int):
+        return self._at(f"commits/{number:020d}.json")
+
+    def _numbers(self) -> list[int]:
+        if not self.exists("commits"):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._at("commits"))]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def _load(self, number: int) -> Version:
+        stream = self._fs.open(self._commit_file(number))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return Version(number, **json.loads(text))
+
+    def _move_appended(self, version: Version) -> None:
+        for log, place in version.appended.items():
+            if self.exists(place):
+                self._fs.mkdirs(self._at(f"logs/{log}"))
+                self._fs.rename(self._at(place), self._at(f"logs/{log}/commit={version.number}"))
+
+    def _rename_if_new(self, source, target) -> None:
+        rename = self._hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.NONE
+        context = self._hadoop.fs.FileContext.getFileContext(
+            self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(source, target, options)
