@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 from typing import Protocol
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from fleetgauge.operators.quality import COPIES, count_copies, profile_columns
@@ -58,8 +60,9 @@ class ParquetReports:
     def refresh(self, target: str, rows: DataFrame, profile: Observation) -> bool:
         table = self.table(target)
         base = table.latest()
-        part = table.write_part(rows, "rows")
+        part = table.write(rows, "rows")
         if profile.get["final_rows"] == 0:
+            table.discard(part)
             return False
         table.commit(base, {"rows": part})
         table.prune(self.keep_versions)
@@ -118,6 +121,12 @@ def publish_report(spark: SparkSession, report: Report, sink: ReportSink,
 
 def publish_reports(spark: SparkSession, sink: ReportSink, reports: Iterable[Report] = REPORTS,
                     settings: PublishSettings = PublishSettings()) -> DataFrame:
-    """Publish every report and return the run log, one row per report."""
-    outcomes = [publish_report(spark, report, sink, settings) for report in reports]
+    """Publish every report and return the run log, one row per report.
+
+    Reports are independent jobs; a few are submitted at a time so that small
+    ones fill the gaps of large ones.
+    """
+    publish = inheritable_thread_target(spark)(publish_report)
+    with ThreadPoolExecutor(settings.concurrent_reports) as pool:
+        outcomes = list(pool.map(lambda report: publish(spark, report, sink, settings), reports))
     return spark.createDataFrame([tuple(asdict(o).values()) for o in outcomes], RUN_LOG)

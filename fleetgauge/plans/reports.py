@@ -14,11 +14,11 @@ from fleetgauge.settings import RiskSettings
 
 @dataclass(frozen=True)
 class FleetTables:
-    """What reports read."""
+    """What reports read. A report needs one of them; others may be None."""
 
-    safety_status: DataFrame
-    asset_history: DataFrame
-    fleet_snapshot: DataFrame
+    safety_status: DataFrame | None
+    asset_history: DataFrame | None
+    fleet_snapshot: DataFrame | None
 
 
 def active_vehicle_snapshot(tables: FleetTables) -> DataFrame:

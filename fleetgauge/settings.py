@@ -85,3 +85,4 @@ class PublishSettings:
     attempts: int = 3
     pause_seconds: float = 5.0
     insert_chunk: int = 1000
+    concurrent_reports: int = 4

@@ -89,6 +89,10 @@ class VersionedTable:
         writer.parquet(f"{self.path}/{place}")
         return place
 
+    def discard(self, place: str) -> None:
+        """Delete data that was written but is not to be committed."""
+        self._fs.delete(self._at(place), True)
+
     def commit(self, base: Version, parts: dict[str, str], appended: dict[str, str] | None = None,
                properties: dict | None = None) -> Version:
         """Make ``parts`` the version after ``base`` and append to the logs."""

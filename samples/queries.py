@@ -190,9 +190,11 @@ def _report(target: str) -> Query:
     report = next(r for r in reports.REPORTS if r.target == target)
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        history = gold_asset_history_scd2(spark, folder)
-        tables = reports.FleetTables(driver_safety_status(spark, folder), history,
-                                     assets.active_fleet_snapshot(history))
+        if target in oracle.SAFETY_REPORTS:
+            tables = reports.FleetTables(driver_safety_status(spark, folder), None, None)
+        else:
+            history = gold_asset_history_scd2(spark, folder)
+            tables = reports.FleetTables(None, history, assets.active_fleet_snapshot(history))
         return rounded(report.build(tables), "avg_speed")
 
     return run
