@@ -102,12 +102,19 @@ class DriverStateStore:
         def apply(base: Version) -> Version:
             if self._seen(base, batch_id):
                 return base
-            evaluations = ds.evaluate_windows(windows, self.settings)
-            return self._commit_evaluations(base, evaluations, {}, {"batch_id": batch_id}, as_of,
-                                            **options)
+            # written, since state and audit both read it and a stream runs once
+            place = self.table.write(ds.evaluate_windows(windows, self.settings), "evaluated")
+            try:
+                return self._commit_evaluations(base, self._written(place), {},
+                                                {"batch_id": batch_id}, as_of, **options)
+            finally:
+                self.table.discard(place)
 
         return self._retry(apply)
 
+    def has_applied(self, batch_id: int) -> bool:
+        return self._seen(self.table.latest(), batch_id)
+
     def decay(self, as_of: Moment = None) -> Version:
         def apply(base: Version) -> Version:
             before = self.table.read("state", DRIVER_RISK_STATE, base)

@@ -85,6 +85,23 @@ def start_driver_safety_current(messages: DataFrame, assignments: Dimension, pat
     )
 
 
+def _once(store: DriverStateStore, apply: Callable[[DataFrame, int], None]
+          ) -> Callable[[DataFrame, int], None]:
+    """``apply`` for batches the store does not have yet.
+
+    A batch that it has is still computed, because the de-duplication state of
+    the stream must go forward with it.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if store.has_applied(batch_id):
+            batch.write.format("noop").mode("overwrite").save()
+        else:
+            apply(batch, batch_id)
+
+    return run
+
+
 def _windowed(messages: DataFrame, assignments: DataFrame, settings: RiskSettings,
               stream: StreamSettings) -> DataFrame:
     dimension = sized_join_side(assignments, stream.broadcast_rows)
@@ -123,7 +140,7 @@ def start_driver_state(messages: DataFrame, assignments: Dimension, store: Drive
         store.apply_events(scored, batch_id, clock() if clock else None, **options)
 
     return (
-        clean_stream(messages, stream).writeStream.foreachBatch(credit).outputMode("append")
+        clean_stream(messages, stream).writeStream.foreachBatch(_once(store, credit)).outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": stream.aggregate_trigger}))
         .queryName("driver_state_stream").start()
@@ -146,7 +163,7 @@ def start_driver_state_as_emitted(messages: DataFrame, assignments: DataFrame,
 
     return (
         _windowed(messages, assignments, store.settings, store.stream)
-        .writeStream.foreachBatch(add).outputMode("update")
+        .writeStream.foreachBatch(_once(store, add)).outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": store.stream.aggregate_trigger}))
         .queryName("driver_state_as_emitted_stream").start()
