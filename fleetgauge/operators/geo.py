@@ -9,10 +9,13 @@ cells, so the number of cells per box is bounded whatever its size.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.operators.joins import sized_join_side
+from fleetgauge.operators.joins import has_at_most, sized_join_side
 
 FINE_DEGREES = 0.1
 COARSE_DEGREES = 5.0
@@ -30,7 +33,7 @@ def _cell(degrees: Column, size: Column | float) -> Column:
 
 
 def _zone_cells(zones: DataFrame, fine: float, coarse: float, max_cells: int) -> DataFrame:
-    """One row per box and grid cell it touches, ready to be joined."""
+    """One row per box and grid cell it touches."""
 
     def span(low: str, high: str) -> Column:
         return (_cell(F.col(high), fine) - _cell(F.col(low), fine) + 1).cast("bigint")
@@ -39,13 +42,12 @@ def _zone_cells(zones: DataFrame, fine: float, coarse: float, max_cells: int) ->
         return F.sequence(_cell(F.col(low), F.col("_size")), _cell(F.col(high), F.col("_size")))
 
     touched = span("min_lat", "max_lat") * span("min_lon", "max_lon")
-    touching = (
+    return (
         zones.filter("min_lat <= max_lat AND min_lon <= max_lon")
         .withColumn("_size", F.when(touched <= max_cells, F.lit(fine)).otherwise(F.lit(coarse)))
         .withColumn("_cell_lat", F.explode(cells("min_lat", "max_lat")))
         .withColumn("_cell_lon", F.explode(cells("min_lon", "max_lon")))
     )
-    return sized_join_side(touching, BROADCAST_CELLS)
 
 
 def match_zones(points: DataFrame, zones: DataFrame, fine: float = FINE_DEGREES,
@@ -63,27 +65,45 @@ def match_zones(points: DataFrame, zones: DataFrame, fine: float = FINE_DEGREES,
     )
     within = (F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
               & F.col("lon").between(F.col("min_lon"), F.col("max_lon")))
-    boxes = _zone_cells(zones, fine, coarse, max_cells)
+    boxes = sized_join_side(_zone_cells(zones, fine, coarse, max_cells), BROADCAST_CELLS)
     return located.join(boxes, keys).filter(within).drop(*keys)
 
 
 def flag_zones(points: DataFrame, zones: DataFrame, output: str = "restricted_zone_flag",
                fine: float = FINE_DEGREES, coarse: float = COARSE_DEGREES,
                max_cells: int = MAX_CELLS) -> DataFrame:
-    """Every point once, with 1 in ``output`` if any box contains it, else 0.
-
-    One existence join per grid: no point is repeated, nothing is collected.
-    """
+    """Every point once, with 1 in ``output`` if any box contains it, else 0."""
     boxes = _zone_cells(zones, fine, coarse, max_cells)
-    lat, lon = F.col("_p.lat").outer(), F.col("_p.lon").outer()
+    if has_at_most(boxes, BROADCAST_CELLS):
+        return _flag_by_lookup(points, F.broadcast(boxes), output, (fine, coarse))
+    return _flag_by_halves(points, boxes.hint("merge"), output, (fine, coarse))
+
 
-    def contained(size: float) -> Column:
-        return boxes.where(
-            (F.col("_size") == size)
+def _contained(lat: Column, lon: Column, size: float) -> Column:
+    """Whether a box of grid ``size`` contains the position."""
+    return ((F.col("_size") == size)
             & (F.col("_cell_lat") == _cell(lat, size)) & (F.col("_cell_lon") == _cell(lon, size))
             & lat.between(F.col("min_lat"), F.col("max_lat"))
-            & lon.between(F.col("min_lon"), F.col("max_lon"))
-        ).exists()
+            & lon.between(F.col("min_lon"), F.col("max_lon")))
 
-    flag = F.when(contained(fine) | contained(coarse), 1).otherwise(0)
+
+def _flag_by_lookup(points: DataFrame, boxes: DataFrame, output: str, sizes) -> DataFrame:
+    """One pass over the points: each grid is an existence join with a broadcast."""
+    lat, lon = F.col("_p.lat").outer(), F.col("_p.lon").outer()
+    hits = [boxes.where(_contained(lat, lon, size)).exists() for size in sizes]
+    flag = F.when(reduce(or_, hits), 1).otherwise(0)
     return points.alias("_p").select("_p.*", flag.alias(output))
+
+
+def _flag_by_halves(points: DataFrame, boxes: DataFrame, output: str, sizes) -> DataFrame:
+    """Points in a box (semi join) and the others (anti join), grid by grid.
+
+    Unlike an existence join, adaptive execution can split these where a large
+    part of the points shares a cell.
+    """
+    inside, rest = [], points.alias("_p")
+    for size in sizes:
+        hit = _contained(F.col("_p.lat"), F.col("_p.lon"), size)
+        inside.append(rest.join(boxes, hit, "left_semi").withColumn(output, F.lit(1)))
+        rest = rest.join(boxes, hit, "left_anti")
+    return reduce(DataFrame.unionByName, inside, rest.withColumn(output, F.lit(0)))

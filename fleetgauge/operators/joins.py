@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def has_at_most(df: DataFrame, rows: int) -> bool:
+    """Counts no further than ``rows + 1``."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def sized_join_side(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint how a batch frame is to be joined, after counting it.
 
     With at most ``max_rows`` rows it is broadcast, otherwise it joins by sort
-    and merge, where adaptive execution can split hot keys. The count reads no
-    more than ``max_rows + 1`` rows. Use it where Spark cannot see sizes:
-    stream-static joins, and frames that grow by ``explode``.
+    and merge, where adaptive execution can split hot keys. Use it where Spark
+    cannot see sizes: stream-static joins, and frames that grow by ``explode``.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df.hint("merge")
+    return F.broadcast(df) if has_at_most(df, max_rows) else df.hint("merge")

@@ -19,7 +19,7 @@ from fleetgauge.plans.stores import AssetHistoryStore, DriverStateStore
 from fleetgauge.schemas import RAW_COLUMNS
 from fleetgauge.settings import PublishSettings, RiskSettings
 from fleetgauge.sources.files import overwrite, read_raw, read_table
-from fleetgauge.sources.scratch import stage
+from fleetgauge.sources.scratch import staged
 
 SILVER = {
     "vehicle_registry": silver.vehicle_registry,
@@ -54,10 +54,11 @@ class FleetWarehouse:
 
     def refresh_fuel_audit(self) -> None:
         """The refuels are staged, since both the baselines and the audit read them."""
-        refuels = stage(fuel.audited_refuels(self.silver("fuel_transactions"),
-                                             self.silver("maintenance_logs"), self.settings))
-        overwrite(fuel.flag_refuels(refuels, self.silver("vehicle_registry"), self.settings),
-                  f"{self.root}/gold/fuel_efficiency_audit")
+        counted = fuel.audited_refuels(self.silver("fuel_transactions"),
+                                       self.silver("maintenance_logs"), self.settings)
+        with staged(counted, "refuels") as refuels:
+            overwrite(fuel.flag_refuels(refuels, self.silver("vehicle_registry"), self.settings),
+                      f"{self.root}/gold/fuel_efficiency_audit")
 
     def run_registry(self) -> None:
         """Yearly master data."""

@@ -17,7 +17,7 @@ from fleetgauge.plans.reports import REPORTS, Report
 from fleetgauge.schemas import BIGINT, DOUBLE, INT, STRING, TIMESTAMP, table
 from fleetgauge.settings import PublishSettings
 from fleetgauge.sources.catalog import read_view, write_jdbc
-from fleetgauge.sources.scratch import new_scratch_path
+from fleetgauge.sources.scratch import staged
 from fleetgauge.sources.versioned import VersionedTable
 
 RUN_LOG = table(
@@ -80,14 +80,11 @@ class JdbcReports:
         self.url, self.properties, self.settings = url, properties, settings
 
     def refresh(self, target: str, rows: DataFrame, profile: Observation) -> bool:
-        spark = rows.sparkSession
-        path = new_scratch_path(spark, target)
-        rows.write.parquet(path)
-        if profile.get["final_rows"] == 0:
-            return False
-        write_jdbc(spark.read.parquet(path), self.url, target, self.properties,
-                   self.settings.insert_chunk)
-        return True
+        with staged(rows, target) as copy:
+            if profile.get["final_rows"] == 0:
+                return False
+            write_jdbc(copy, self.url, target, self.properties, self.settings.insert_chunk)
+            return True
 
 
 def publish_report(spark: SparkSession, report: Report, sink: ReportSink,

@@ -73,7 +73,8 @@ class StreamSettings:
     window_length: str = "30 minutes"
     event_trigger: str = "1 minute"
     aggregate_trigger: str = "2 minutes"
-    max_offsets_per_trigger: int = 5000
+    # upper bound of a micro-batch of the Kafka source; None for no bound
+    max_offsets_per_trigger: int | None = None
     # a dimension with at most this many rows is broadcast to the stream
     broadcast_rows: int = 1_000_000
     # committed versions of the driver state that stay readable

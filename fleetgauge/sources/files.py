@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetgauge.schemas import require_columns
@@ -34,14 +35,24 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
+def gathered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of one output folder in few tasks, so that it gets few files.
+
+    Adaptive execution splits a large folder over several tasks again.
+    """
+    return df.hint("rebalance", *[F.col(k) for k in keys])
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
     """Replace the Parquet table at ``path``, which ``df`` must not read from."""
-    writer = df.write.mode("overwrite").option("compression", "snappy")
     keys = list(partition_by)
+    rows = gathered(df, keys) if keys else df
+    writer = rows.write.mode("overwrite").option("compression", "snappy")
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) -> None:
     """Replace only the partitions that ``df`` has rows for. Safe to repeat."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    keys = list(partition_by)
+    (gathered(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*keys).parquet(path))

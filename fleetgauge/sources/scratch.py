@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,13 +29,22 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once to the scratch folder and read it back.
+@contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """``df`` written once to the scratch folder, for the length of a ``with`` block.
 
-    For a frame used several times downstream: cheaper than evaluating it again
-    and, unlike a cache, still there when an executor is lost.
+    For a frame used several times: cheaper than evaluating it again and, unlike
+    a cache, still there when an executor is lost.
     """
     spark = df.sparkSession
     path = new_scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -12,15 +12,16 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
                  settings: StreamSettings = StreamSettings(),
                  starting_offsets: str = "latest") -> DataFrame:
     """A Kafka topic. Needs the Spark Kafka package on the class path."""
-    return (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
         .option("failOnDataLoss", "false")
-        .option("maxOffsetsPerTrigger", settings.max_offsets_per_trigger)
-        .load()
     )
+    if settings.max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", settings.max_offsets_per_trigger)
+    return reader.load()
 
 
 def json_lines_source(spark: SparkSession, path: str,

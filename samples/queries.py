@@ -18,7 +18,7 @@ from fleetgauge.plans import assets, fuel, reports, silver, telemetry
 from fleetgauge.plans import driver_state as ds
 from fleetgauge.plans.publish import ParquetReports, publish_reports
 from fleetgauge.schemas import ASSET_HISTORY, DRIVER_RISK_STATE
-from fleetgauge.sources.scratch import new_scratch_path, stage
+from fleetgauge.sources.scratch import new_scratch_path, staged
 from samples import oracle
 from samples.tables import FIRST_SNAPSHOT_END, FleetSample
 
@@ -206,11 +206,11 @@ for _target, _key in oracle.REPORT_KEYS.items():
 
 def publish(spark: SparkSession, folder: str) -> DataFrame:
     """Publish all reports from stored gold tables; the run log without its times."""
-    history = stage(gold_asset_history_scd2(spark, folder), "history")
-    events = stage(driver_safety_status(spark, folder), "events")
-    reports.create_views(
-        reports.FleetTables(events, history, assets.active_fleet_snapshot(history)))
-    log = publish_reports(spark, ParquetReports(spark, new_scratch_path(spark, "reports")))
+    with (staged(gold_asset_history_scd2(spark, folder), "history") as history,
+          staged(driver_safety_status(spark, folder), "events") as events):
+        reports.create_views(
+            reports.FleetTables(events, history, assets.active_fleet_snapshot(history)))
+        log = publish_reports(spark, ParquetReports(spark, new_scratch_path(spark, "reports")))
     return log.select("target", "status", "rows_fetched", "duplicate_rows", "null_cells",
                       "rows_removed", "final_rows")
 

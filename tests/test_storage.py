@@ -9,7 +9,7 @@ from fleetgauge.operators.quality import quality_profile
 from fleetgauge.settings import PublishSettings
 from fleetgauge.sources.catalog import register_table
 from fleetgauge.sources.files import overwrite, overwrite_partitions
-from fleetgauge.sources.scratch import scratch_folder, stage
+from fleetgauge.sources.scratch import scratch_folder, staged
 from fleetgauge.sources.versioned import CommitConflict, VersionedTable
 
 QUICK = PublishSettings(pause_seconds=0.0)
@@ -89,11 +89,19 @@ def test_register_table_finds_partitions(spark, folder):
     assert register_table(spark, "registered_events", folder).count() == 6
 
 
-def test_stage_uses_the_shared_folder(spark):
+def test_staging_uses_the_shared_folder_and_cleans_up(spark):
     assert scratch_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-    staged = stage(spark.range(3))
-    assert staged.inputFiles()[0].startswith("file:" + scratch_folder(spark)) or \
-        scratch_folder(spark) in staged.inputFiles()[0]
+    with staged(spark.range(3)) as copy:
+        place = copy.inputFiles()[0].removeprefix("file:").replace("//", "")
+        assert place.startswith(scratch_folder(spark)) and os.path.exists(place)
+        assert values(copy) == [(0,), (1,), (2,)]
+    assert not os.path.exists(os.path.dirname(place))
+
+
+def test_partitioned_write_gathers_rows(spark, folder):
+    overwrite(spark.range(0, 400, 1, 8).selectExpr("id", "id % 3 AS p"), folder, ["p"])
+    files = [f for _, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
+    assert len(files) == 3
 
 
 def test_profile(frame):
