@@ -17,7 +17,7 @@ UPKEEP = "2024-01-10 00:00:00"
 
 TELEMETRY = """
 base AS (
-  SELECT event_id, concat('VIN', CAST(1000 + user_id % 50 AS VARCHAR)) AS vin,
+  SELECT event_id, concat('VIN', CAST(1000 + user_id AS VARCHAR)) AS vin,
     CASE WHEN event_id % 33 = 0 THEN NULL ELSE CAST(60 + (event_id * 37) % 81 AS INTEGER) END AS speed,
     CAST(1000 + (event_id * 53) % 4001 AS INTEGER) AS rpm,
     12.0e0 + CAST((event_id * 7919) % 10000 AS DOUBLE) / 1e4 AS lat,
@@ -49,7 +49,7 @@ def assignments(name: str, condition: str = "TRUE") -> str:
         FROM orders JOIN customer ON o_custkey = c_custkey
                     JOIN nation ON c_nationkey = n_nationkey
                     JOIN region ON n_regionkey = r_regionkey
-        WHERE o_custkey % 19 <> 0 AND {condition})
+        WHERE c_acctbal >= 0 AND {condition})
   WHERE place = 1)"""
 
 
@@ -168,7 +168,7 @@ raw_registry AS (
   SELECT concat('VIN', CAST(1000 + c_custkey AS VARCHAR)) AS vin, c_mktsegment AS model,
     CAST(2000 + c_custkey % 25 AS VARCHAR) AS mfg_year,
     CASE WHEN c_custkey % 3 = 0 THEN 'DIESEL' ELSE 'PETROL' END AS fuel_type
-  FROM customer WHERE c_custkey % 17 <> 0),
+  FROM customer WHERE c_acctbal < 9000),
 raw_assignment AS (
   SELECT concat('VIN', CAST(1000 + o_custkey AS VARCHAR)) AS vin,
     concat('D', CAST(o_custkey % 20 + 20 * (o_orderkey % 2) AS VARCHAR)) AS driver_id,
@@ -178,7 +178,7 @@ raw_assignment AS (
          ELSE CAST(500 + o_orderkey % 1000 AS VARCHAR) END AS daily_rate, r_name AS region
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
               JOIN region ON n_regionkey = r_regionkey
-  WHERE o_custkey % 19 <> 0),
+  WHERE c_acctbal >= 0),
 fuel_once AS (
   SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS transaction_id,
     concat('VIN', CAST(1000 + o_custkey AS VARCHAR)) AS vin,
@@ -193,8 +193,8 @@ raw_fuel AS (
   UNION ALL SELECT * EXCLUDE (o_orderkey) FROM fuel_once WHERE o_orderkey % 25 = 0),
 raw_maintenance AS (
   SELECT concat('VIN', CAST(1000 + o_custkey AS VARCHAR)) AS vin,
-    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS service_date, o_orderpriority AS service_type
-  FROM orders WHERE o_orderkey % 13 = 0)"""
+    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS service_date, o_orderstatus AS service_type
+  FROM orders WHERE o_orderpriority = '1-URGENT')"""
 
 SILVER = f"""{RAW},
 registry AS (

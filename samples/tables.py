@@ -1,6 +1,6 @@
 """Fleet inputs derived from orders, customer, nation, region and events.
 
-Each customer is a vehicle, each order an assignment and a refuel, some orders
+Each customer is a vehicle, each order an assignment and a refuel, urgent orders
 are services; events are telemetry. Bad values, copies and gaps are put in on
 purpose. ``samples.oracle`` says the same in SQL.
 """
@@ -30,7 +30,7 @@ class FleetSample:
     def events(self) -> DataFrame:
         """Parsed telemetry; every 20th event arrives twice, every 33rd has no speed."""
         return self._table("events").selectExpr(
-            "concat('VIN', CAST(1000 + user_id % 50 AS STRING)) AS vin",
+            "concat('VIN', CAST(1000 + user_id AS STRING)) AS vin",
             "CASE WHEN event_id % 33 = 0 THEN NULL ELSE CAST(60 + (event_id * 37) % 81 AS INT) END AS speed",
             "CAST(1000 + (event_id * 53) % 4001 AS INT) AS rpm",
             "12.0e0 + CAST((event_id * 7919) % 10000 AS DOUBLE) / 1e4 AS lat",
@@ -48,9 +48,10 @@ class FleetSample:
         )
 
     def _assignments(self) -> DataFrame:
-        orders = self._table("orders").filter("o_custkey % 19 <> 0")
+        """Customers in debt have no assignment."""
+        customers = self._table("customer").filter("c_acctbal >= 0")
         return (
-            orders.join(self._table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+            self._table("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
             .join(self._table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self._table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .selectExpr(
@@ -83,7 +84,8 @@ class FleetSample:
             "region")
 
     def raw_registry(self) -> DataFrame:
-        return self._table("customer").filter("c_custkey % 17 <> 0").selectExpr(
+        """The richest customers are not registered."""
+        return self._table("customer").filter("c_acctbal < 9000").selectExpr(
             "concat('VIN', CAST(1000 + c_custkey AS STRING)) AS vin", "c_mktsegment AS model",
             "CAST(2000 + c_custkey % 25 AS STRING) AS mfg_year",
             "CASE WHEN c_custkey % 3 = 0 THEN 'DIESEL' ELSE 'PETROL' END AS fuel_type")
@@ -103,10 +105,11 @@ class FleetSample:
         ).drop("copy")
 
     def raw_maintenance(self) -> DataFrame:
-        return self._table("orders").filter("o_orderkey % 13 = 0").selectExpr(
+        """Urgent orders are services."""
+        return self._table("orders").filter("o_orderpriority = '1-URGENT'").selectExpr(
             "concat('VIN', CAST(1000 + o_custkey AS STRING)) AS vin",
             "CAST(CAST(o_orderdate AS DATE) AS STRING) AS service_date",
-            "o_orderpriority AS service_type")
+            "o_orderstatus AS service_type")
 
     def zones(self) -> DataFrame:
         return self.spark.sql(ZONES)
