@@ -18,8 +18,8 @@ def audited_refuels(fuel: DataFrame, maintenance: DataFrame,
     The distance is taken before refuels are excluded, so a refuel at a weekend
     or on a maintenance day still is the previous reading of the next one.
     """
-    readings = fuel.select("vin", "event_time", "transaction_id", "odometer_reading",
-                           "fuel_liters")
+    readings = fuel.filter(F.col("vin").isNotNull()).select(
+        "vin", "event_time", "transaction_id", "odometer_reading", "fuel_liters")
     stepped = with_previous(
         readings, key="vin", time="event_time", value="odometer_reading",
         ties=["transaction_id", "odometer_reading", "fuel_liters"], output="prev_odo",

@@ -1,4 +1,4 @@
-"""The three streaming queries.
+"""The streaming queries.
 
 Each takes ``messages`` (see ``sources.streams``), an output path and a
 checkpoint path, and returns the started query. ``trigger`` is the keyword of
@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,6 +30,7 @@ from fleetgauge.sources.files import overwrite_partitions
 
 Dimension = Callable[[], DataFrame]
 Clock = Callable[[], datetime]
+BatchFunction = Callable[[DataFrame, int], None]
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
@@ -71,12 +73,7 @@ def start_driver_safety_current(messages: DataFrame, assignments: Dimension, pat
     own partitions.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        dimension = sized_join_side(assignments(), stream.broadcast_rows)
-        events = driver_safety_status(batch, dimension, settings)
-        overwrite_partitions(events.selectExpr("*", f"{batch_id}L AS batch_id"), path,
-                             ["date", "hour", "batch_id"])
-
+    write = _event_writer(assignments, path, settings, stream)
     return (
         clean_stream(messages, stream).writeStream.foreachBatch(write).outputMode("append")
         .option("checkpointLocation", checkpoint)
@@ -85,8 +82,18 @@ def start_driver_safety_current(messages: DataFrame, assignments: Dimension, pat
     )
 
 
-def _once(store: DriverStateStore, apply: Callable[[DataFrame, int], None]
-          ) -> Callable[[DataFrame, int], None]:
+def _event_writer(assignments: Dimension, path: str, settings: RiskSettings,
+                  stream: StreamSettings) -> BatchFunction:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        dimension = sized_join_side(assignments(), stream.broadcast_rows)
+        events = driver_safety_status(batch, dimension, settings)
+        overwrite_partitions(events.selectExpr("*", f"{batch_id}L AS batch_id"), path,
+                             ["date", "hour", "batch_id"])
+
+    return write
+
+
+def _once(store: DriverStateStore, apply: BatchFunction) -> BatchFunction:
     """``apply`` for batches the store does not have yet.
 
     A batch that it has is still computed, because the de-duplication state of
@@ -132,18 +139,50 @@ def start_driver_state(messages: DataFrame, assignments: Dimension, store: Drive
     ledger of the store. Assignments are read anew in every batch. ``options``
     are ``cooldown_by_tier`` and ``true_previous``.
     """
-    stream, settings = store.stream, store.settings
+    credit = _state_writer(assignments, store, clock, options)
+    return (
+        clean_stream(messages, store.stream).writeStream.foreachBatch(_once(store, credit))
+        .outputMode("append").option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": store.stream.aggregate_trigger}))
+        .queryName("driver_state_stream").start()
+    )
+
 
+def _state_writer(assignments: Dimension, store: DriverStateStore, clock: Clock | None,
+                  options: dict) -> BatchFunction:
     def credit(batch: DataFrame, batch_id: int) -> None:
-        dimension = sized_join_side(assignments(), stream.broadcast_rows)
-        scored = score_events(enrich(batch, dimension), settings)
+        dimension = sized_join_side(assignments(), store.stream.broadcast_rows)
+        scored = score_events(enrich(batch, dimension), store.settings)
         store.apply_events(scored, batch_id, clock() if clock else None, **options)
 
+    return credit
+
+
+def start_events_and_state(messages: DataFrame, assignments: Dimension, path: str,
+                           store: DriverStateStore, checkpoint: str, trigger: dict | None = None,
+                           clock: Clock | None = None, **options) -> StreamingQuery:
+    """Event table and driver state from one query.
+
+    The source is read and de-duplicated once for both, where two queries would
+    each do it with a state of their own.
+    """
+    write = _event_writer(assignments, path, store.settings, store.stream)
+    credit = _state_writer(assignments, store, clock, options)
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write(batch, batch_id)
+            if not store.has_applied(batch_id):
+                credit(batch, batch_id)
+        finally:
+            batch.unpersist()
+
     return (
-        clean_stream(messages, stream).writeStream.foreachBatch(_once(store, credit)).outputMode("append")
+        clean_stream(messages, store.stream).writeStream.foreachBatch(both).outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": stream.aggregate_trigger}))
-        .queryName("driver_state_stream").start()
+        .trigger(**(trigger or {"processingTime": store.stream.event_trigger}))
+        .queryName("events_and_state_stream").start()
     )
 
 
@@ -170,6 +209,12 @@ def start_driver_state_as_emitted(messages: DataFrame, assignments: DataFrame,
     )
 
 
+def late_events_dropped(query: StreamingQuery) -> int:
+    """Events below the watermark that the recent batches of ``query`` dropped."""
+    return sum(operator["numRowsDroppedByWatermark"]
+               for progress in query.recentProgress for operator in progress["stateOperators"])
+
+
 def await_any(spark: SparkSession) -> None:
     """Block until one of the queries ends."""
     spark.streams.awaitAnyTermination()

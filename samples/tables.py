@@ -72,7 +72,10 @@ class FleetSample:
             "CAST(500 + o_orderkey % 1000 AS DOUBLE) AS daily_rate", "region")
 
     def dimension(self) -> DataFrame:
-        return self.assignment_snapshot().select("vin", "driver_id", "daily_rate", "region")
+        """Current assignments. Rebalanced, so that a join shuffles them anew, like the stored
+        table they stand for: only then can adaptive execution split a hot vin of the join."""
+        current = self.assignment_snapshot().select("vin", "driver_id", "daily_rate", "region")
+        return current.hint("rebalance")
 
     def raw_assignment(self) -> DataFrame:
         return self._assignments().selectExpr(

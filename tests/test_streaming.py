@@ -111,8 +111,7 @@ def test_late_events_are_dropped_and_counted(source, dimension, folder):
     source.send(message("V2", 5))
     query = run(sq.start_driver_safety(source.stream(), dimension, f"{folder}/out", f"{folder}/cp",
                                        trigger=ONCE))
-    dropped = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
-    assert dropped == 1
+    assert sq.late_events_dropped(query) == 1
 
 
 def test_state_over_batches_equals_one_batch(spark, source, dimension, folder, frame):
@@ -128,6 +127,31 @@ def test_state_over_batches_equals_one_batch(spark, source, dimension, folder, f
     assert store.read_audit().count() == 5
 
 
+def test_events_and_state_from_one_query(spark, source, dimension, folder, frame):
+    fill(source)
+    store = DriverStateStore(spark, f"{folder}/state")
+    for checkpoint in ("cp1", "cp2"):  # the second run repeats every batch
+        run(sq.start_events_and_state(source.stream(), lambda: dimension, f"{folder}/out", store,
+                                      f"{folder}/{checkpoint}", trigger=ONCE, clock=lambda: NOW))
+        events = tm.driver_safety_status(source.batch(), dimension)
+        assert values(spark.read.parquet(f"{folder}/out"), "vin", "event_timestamp", "driver_id",
+                      "strike_score") == values(events, "vin", "event_timestamp", "driver_id", "strike_score")
+        windows = tm.flatten_window(tm.driver_risk_aggregates(events))
+        expected = ds.merge_state(frame(store.read_state().schema, []), ds.evaluate_windows(windows), NOW)
+        assert values(store.read_state()) == values(expected)
+
+
+def test_state_in_rocksdb(spark, source, dimension, folder):
+    fill(source)
+    sq.use_rocksdb_state(spark)
+    try:
+        run(sq.start_driver_safety(source.stream(), dimension, f"{folder}/out", f"{folder}/cp", trigger=ONCE))
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    expected = tm.driver_safety_status(source.batch(), dimension)
+    assert spark.read.parquet(f"{folder}/out").count() == expected.count()
+
+
 def test_replay_after_lost_checkpoint_changes_nothing(spark, source, dimension, folder):
     fill(source)
     store = DriverStateStore(spark, f"{folder}/state")
