@@ -2,6 +2,7 @@ import os
 
 import pytest
 from conftest import plan_of, values
+from pyspark.sql import functions as F
 
 from fleetgauge.operators.dedup import keep_first, keep_one
 from fleetgauge.plans import silver
@@ -73,6 +74,16 @@ def test_survivor_does_not_depend_on_the_order_of_rows(spark):
     assert len(first) == 7
 
 
+def test_survivor_of_numbers_is_a_whole_row_too(spark):
+    df = spark.range(2000).selectExpr("id % 7 AS k", "CASE WHEN id % 3 > 0 THEN id * 37 % 11 END AS a",
+                                      "CASE WHEN id % 5 > 0 THEN CAST(id AS DOUBLE) END AS b", "id AS c")
+    kept = keep_one(df.repartition(5, "c"), ["k"])
+    rows = values(kept)
+    assert rows == values(keep_one(df.orderBy(F.desc("c")), ["k"]))
+    assert len(rows) == 7 and set(rows) <= set(values(df))
+    assert "HashAggregate" in plan_of(kept) and "SortAggregate" not in plan_of(kept)
+
+
 def test_hot_keys_shrink_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS a", "CAST(id AS STRING) AS b")
     below_exchange = plan_of(keep_one(df, ["k"])).split("Exchange", 1)[1]
