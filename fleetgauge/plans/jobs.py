@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetgauge.plans import fuel, silver
 from fleetgauge.plans.assets import active_fleet_snapshot
 from fleetgauge.plans.publish import ReportSink, publish_reports
-from fleetgauge.plans.reports import FleetTables, create_views
+from fleetgauge.plans.reports import FleetTables, create_views, event_facts, rolled_up
 from fleetgauge.plans.stores import AssetHistoryStore, DriverStateStore
 from fleetgauge.schemas import RAW_COLUMNS
 from fleetgauge.settings import PublishSettings, RiskSettings
@@ -78,6 +78,9 @@ class FleetWarehouse:
         self.driver_state.decay(as_of)
 
     def publish(self, sink: ReportSink, settings: PublishSettings = PublishSettings()) -> DataFrame:
-        create_views(FleetTables(self.gold("driver_safety_status"), self.asset_history.read(),
-                                 self.gold("active_fleet_snapshot")))
-        return publish_reports(self.spark, sink, settings=settings)
+        """The events are read once for the six summaries, and once to be passed through."""
+        events = self.gold("driver_safety_status")
+        with staged(rolled_up(event_facts(events)), "facts") as facts:
+            create_views(FleetTables(events, facts, self.asset_history.read(),
+                                     self.gold("active_fleet_snapshot")))
+            return publish_reports(self.spark, sink, settings=settings)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DateType,
@@ -75,6 +76,12 @@ ASSET_HISTORY_REQUIRED = ("vin", "driver_id", "start_date", "daily_rate", "regio
                           "is_current")
 
 
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, in a form that the optimizer knows to be empty and prunes joins with."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).select(*columns).filter(F.lit(False))
+
+
 class MissingColumns(ValueError):
     """A table lacks columns that the operator needs."""
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fleetgauge.schemas import require_columns
+from fleetgauge.schemas import empty_table, require_columns
 
 
 def read_raw(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
@@ -32,7 +32,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
 
 
 def gathered(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -24,6 +24,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from fleetgauge.schemas import empty_table
+
 
 class CommitConflict(RuntimeError):
     """Another writer committed this version first."""
@@ -61,12 +63,12 @@ class VersionedTable:
             return self.spark.read.parquet(f"{self.path}/{version.parts[part]}")
         if schema is None:
             raise LookupError(f"{self.path} has no part {part} in version {version.number}")
-        return self.spark.createDataFrame([], schema)
+        return empty_table(self.spark, schema)
 
     def read_log(self, log: str, schema: StructType) -> DataFrame:
         """All rows that the committed versions appended to ``log``."""
         columns = schema.names
-        rows = self.spark.createDataFrame([], schema)
+        rows = empty_table(self.spark, schema)
         if self.exists(f"logs/{log}"):
             rows = self.spark.read.schema(schema).parquet(f"{self.path}/logs/{log}").select(columns)
         pending = self.latest().appended.get(log)

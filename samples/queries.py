@@ -17,7 +17,7 @@ from fleetgauge.operators.quality import quality_profile
 from fleetgauge.plans import assets, fuel, reports, silver, telemetry
 from fleetgauge.plans import driver_state as ds
 from fleetgauge.plans.publish import ParquetReports, publish_reports
-from fleetgauge.schemas import ASSET_HISTORY, DRIVER_RISK_STATE
+from fleetgauge.schemas import ASSET_HISTORY, DRIVER_RISK_STATE, empty_table
 from fleetgauge.sources.scratch import new_scratch_path, staged
 from samples import oracle
 from samples.tables import FIRST_SNAPSHOT_END, FleetSample
@@ -73,7 +73,7 @@ def gold_fuel_efficiency(spark: SparkSession, folder: str) -> DataFrame:
 def gold_asset_history_scd2(spark: SparkSession, folder: str) -> DataFrame:
     """Two merges: the assignments up to a day, then all of them."""
     sample = FleetSample(spark, folder)
-    empty = spark.createDataFrame([], ASSET_HISTORY)
+    empty = empty_table(spark, ASSET_HISTORY)
     once = assets.merge_asset_history(empty, sample.assignment_snapshot(FIRST_SNAPSHOT_END),
                                       oracle.FIRST_MERGE)
     return assets.merge_asset_history(once, sample.assignment_snapshot(), oracle.SECOND_MERGE)
@@ -133,7 +133,7 @@ def driver_risk_state(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches: the windows before a time, then the others."""
     evaluations = ds.evaluate_windows(_aggregates(spark, folder))
     early = F.col("window_start") < F.lit(oracle.BATCH_SPLIT).cast("timestamp")
-    empty = spark.createDataFrame([], DRIVER_RISK_STATE)
+    empty = empty_table(spark, DRIVER_RISK_STATE)
     once = ds.merge_state(empty, evaluations.filter(early), oracle.FIRST_BATCH)
     return ds.merge_state(once, evaluations.filter(~early), oracle.SECOND_BATCH)
 
@@ -191,10 +191,11 @@ def _report(target: str) -> Query:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         if target in oracle.SAFETY_REPORTS:
-            tables = reports.FleetTables(driver_safety_status(spark, folder), None, None)
+            events = driver_safety_status(spark, folder)
+            tables = reports.FleetTables(events, reports.event_facts(events), None, None)
         else:
             history = gold_asset_history_scd2(spark, folder)
-            tables = reports.FleetTables(None, history, assets.active_fleet_snapshot(history))
+            tables = reports.FleetTables(None, None, history, assets.active_fleet_snapshot(history))
         return rounded(report.build(tables), "avg_speed")
 
     return run
@@ -207,9 +208,10 @@ for _target, _key in oracle.REPORT_KEYS.items():
 def publish(spark: SparkSession, folder: str) -> DataFrame:
     """Publish all reports from stored gold tables; the run log without its times."""
     with (staged(gold_asset_history_scd2(spark, folder), "history") as history,
-          staged(driver_safety_status(spark, folder), "events") as events):
+          staged(driver_safety_status(spark, folder), "events") as events,
+          staged(reports.rolled_up(reports.event_facts(events)), "facts") as facts):
         reports.create_views(
-            reports.FleetTables(events, history, assets.active_fleet_snapshot(history)))
+            reports.FleetTables(events, facts, history, assets.active_fleet_snapshot(history)))
         log = publish_reports(spark, ParquetReports(spark, new_scratch_path(spark, "reports")))
     return log.select("target", "status", "rows_fetched", "duplicate_rows", "null_cells",
                       "rows_removed", "final_rows")
