@@ -7,8 +7,6 @@ Functions take the state as a frame and return a frame; who stores it is in
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,28 +60,30 @@ def merge_state(state: DataFrame, evaluations: DataFrame, as_of: Moment = None,
     cooldown is one day for every tier unless ``cooldown_by_tier``.
     """
     now = moment(as_of)
-    sums = [F.sum(added).alias(added) for added in ADDED]
-    latest = F.max_by(F.struct(*REPLACED), F.struct("window_start", *REPLACED))
-    batch = evaluations.groupBy("driver_id").agg(*sums, latest.alias("set"))
-
-    old, new = state.alias("old"), batch.alias("new")
-    joined = old.join(new, F.col("old.driver_id").eqNullSafe(F.col("new.driver_id")), "full")
-    touched = F.col("new.set").isNotNull()
-    days = F.col("new.set.cooldown_days") if cooldown_by_tier else F.lit(1)
-    replaced = {name: F.col(f"new.set.{name}") for name in (*TIER_COLUMNS, "strike_decay_score")}
+    held = state.select("driver_id", F.struct(*state.columns).alias("old"))
+    found = evaluations.select(
+        "driver_id", *ADDED, F.struct(*REPLACED).alias("set"),
+        F.struct("window_start", *REPLACED).alias("order"))
+    # One aggregation joins both sides: a driver has one old row at most.
+    merged = held.unionByName(found, allowMissingColumns=True).groupBy("driver_id").agg(
+        F.max("old").alias("old"), *[F.sum(added).alias(added) for added in ADDED],
+        F.max_by("set", "order").alias("set"))
+
+    touched = F.col("set").isNotNull()
+    days = F.col("set.cooldown_days") if cooldown_by_tier else F.lit(1)
+    replaced = {name: F.col(f"set.{name}") for name in (*TIER_COLUMNS, "strike_decay_score")}
     replaced["cooldown_until"] = now + F.make_interval(days=days)
     replaced["updated_ts"] = now
 
-    columns = {"driver_id": F.coalesce("old.driver_id", "new.driver_id")}
+    columns = {"driver_id": F.col("driver_id")}
     for added, total in ADDED.items():
         columns[total] = (F.coalesce(F.col(f"old.{total}"), F.lit(0))
-                          + F.coalesce(F.col(f"new.{added}"), F.lit(0)))
+                          + F.coalesce(F.col(added), F.lit(0)))
     for name, value in replaced.items():
         columns[name] = F.when(touched, value).otherwise(F.col(f"old.{name}"))
-    # A stored row always has updated_ts; without one, the row is new.
-    columns["last_event_ts"] = F.when(F.col("old.updated_ts").isNull(), now).otherwise(
+    columns["last_event_ts"] = F.when(F.col("old").isNull(), now).otherwise(
         F.col("old.last_event_ts"))
-    return joined.select(*[columns[c].alias(c) for c in DRIVER_RISK_STATE.names])
+    return merged.select(*[columns[c].alias(c) for c in DRIVER_RISK_STATE.names])
 
 
 def evaluation_audit(evaluations: DataFrame, previous_state: DataFrame | None = None) -> DataFrame:
@@ -155,7 +155,7 @@ def _audit(rows: DataFrame, event: str, previous: Column, new: Column, reason: C
 
 # Ledger: totals per (window, driver), so that a stream adds only what is new.
 
-LEDGER_KEYS = ("window_start", "driver_id")
+LEDGER_KEYS = ("window_start", "driver_id", "window_end")
 COUNTED = {"total_strike_score": "added_strike_score",
            "overspeed_events": "added_overspeed_events",
            "restricted_zone_events": "added_restricted_zone_events"}
@@ -169,22 +169,16 @@ def extend_ledger(ledger: DataFrame, batch: DataFrame, batch_id: int,
     carry the new total, what was added, and ``batch_id``. Untouched windows that
     end at or before ``closed`` are let go.
     """
-    fresh = batch.filter(F.col("driver_id").isNotNull())
-    old, new = ledger.alias("old"), fresh.alias("new")
-    same = reduce(and_, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in LEDGER_KEYS])
-    joined = old.join(new, same, "full")
-    touched = F.col("new.driver_id").isNotNull()
-    columns = [F.coalesce(f"old.{k}", f"new.{k}").alias(k) for k in (*LEDGER_KEYS, "window_end")]
-    for total, added in COUNTED.items():
-        more = F.coalesce(F.col(f"new.{total}"), F.lit(0))
-        columns += [(F.coalesce(F.col(f"old.{total}"), F.lit(0)) + more).alias(total),
-                    more.alias(added)]
-    columns += [
-        F.greatest("old.last_event_time", "new.last_event_time").alias("last_event_time"),
-        F.when(touched, F.lit(batch_id)).otherwise(F.col("old.touched_batch")).cast("bigint")
-        .alias("touched_batch"),
-    ]
-    extended = joined.select(*columns)
+    keys_and_totals = (*LEDGER_KEYS, *COUNTED, "last_event_time")
+    old = ledger.select(*keys_and_totals, "touched_batch",
+                        *[F.lit(0).cast("bigint").alias(added) for added in COUNTED.values()])
+    new = batch.filter(F.col("driver_id").isNotNull()).select(
+        *keys_and_totals, F.lit(batch_id).cast("bigint").alias("touched_batch"),
+        *[F.col(total).alias(added) for total, added in COUNTED.items()])
+    sums = [F.sum(c).alias(c) for pair in COUNTED.items() for c in pair]
+    extended = old.unionByName(new).groupBy(*LEDGER_KEYS).agg(
+        *sums, F.max("last_event_time").alias("last_event_time"),
+        F.max("touched_batch").alias("touched_batch"))
     if closed is None:
         return extended
     return extended.filter((F.col("touched_batch") == batch_id) | (F.col("window_end") > closed))

@@ -93,7 +93,7 @@ class VersionedTable:
 
     def discard(self, place: str) -> None:
         """Delete data that was written but is not to be committed."""
-        self._fs.delete(self._at(place), True)
+        self._fs.delete(self._at(_written_under(place)), True)
 
     def commit(self, base: Version, parts: dict[str, str], appended: dict[str, str] | None = None,
                properties: dict | None = None) -> Version:
@@ -126,14 +126,15 @@ class VersionedTable:
     def prune(self, keep: int) -> None:
         """Delete all but the newest ``keep`` versions and the data only they use.
 
-        Logs stay.
+        Logs stay. What an old version appended was moved to them at the latest by
+        the commit of the version after it.
         """
         numbers = self._numbers()
         if len(numbers) <= keep:
             return
-        in_use = {place for n in numbers[-keep:] for place in self._load(n).parts.values()}
+        in_use = {place for n in numbers[-keep:] for place in self._places(n)}
         for number in numbers[:-keep]:
-            for place in set(self._load(number).parts.values()) - in_use:
+            for place in self._places(number) - in_use:
                 self._fs.delete(self._at(place), True)
             self._fs.delete(self._commit_file(number), False)
 
@@ -159,6 +160,9 @@ class VersionedTable:
             stream.close()
         return Version(number, **json.loads(text))
 
+    def _places(self, number: int) -> set[str]:
+        return {_written_under(place) for place in self._load(number).parts.values()}
+
     def _move_appended(self, version: Version) -> None:
         for log, place in version.appended.items():
             if self.exists(place):
@@ -172,3 +176,8 @@ class VersionedTable:
         context = self._hadoop.fs.FileContext.getFileContext(
             self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
         context.rename(source, target, options)
+
+
+def _written_under(place: str) -> str:
+    """The folder of the one write that made ``place``: data/<uuid>."""
+    return "/".join(place.split("/")[:2])

@@ -61,6 +61,8 @@ def test_logs_append_and_survive_pruning(spark, folder):
     assert table.read("rows").count() == 4
     kept = [f for _, _, files in os.walk(f"{folder}/commits") for f in files if f.endswith(".json")]
     assert len(kept) == 2
+    assert {place.split("/")[1] for v in (4, 5) for place in table._places(v)} <= set(os.listdir(f"{folder}/data"))
+    assert table.read("rows", version=table._load(4)).count() == 3
 
 
 def test_log_rows_are_visible_before_they_are_moved(spark, folder, monkeypatch):
