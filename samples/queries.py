@@ -75,7 +75,7 @@ def gold_asset_history_scd2(spark: SparkSession, folder: str) -> DataFrame:
     sample = FleetSample(spark, folder)
     empty = empty_table(spark, ASSET_HISTORY)
     once = assets.merge_asset_history(empty, sample.assignment_snapshot(FIRST_SNAPSHOT_END),
-                                      oracle.FIRST_MERGE)
+                                      oracle.FIRST_MERGE, drop_copies=False)
     return assets.merge_asset_history(once, sample.assignment_snapshot(), oracle.SECOND_MERGE)
 
 
