@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetgauge.sources.scratch import checkpointed
+
+PART = "_part"
+
 
 def with_previous(
     df: DataFrame,
@@ -17,55 +21,66 @@ def with_previous(
     output: str,
     hot_rows: int,
     hot_keys: int,
-    slice_unit: str = "hour",
 ) -> DataFrame:
     """Add ``output``: ``value`` of the row before, per key, by ``time`` then ``ties``.
 
-    Rows without a time come before all others and are not returned: only the
-    last of them matters, as the row before the first timed one.
+    Rows without a time come before all others of their key and are not returned;
+    nor are rows without a key.
 
-    A window runs each key in one task. Keys with more than ``hot_rows`` rows
-    (the ``hot_keys`` largest of them, so what is broadcast has that many rows
-    at most) are therefore cut into slices of ``slice_unit``. The first row of a
-    slice takes its previous value from the last row of the slice before, which
-    a partial aggregate finds. Without such keys the second half of the plan is
-    empty and adaptive execution drops it.
+    A window runs each key in one task. Keys with more than ``hot_rows`` rows are
+    found first, by a count over the key column, and sequenced in parts of about
+    that size. Only the ``hot_keys`` largest are; any other key then holds less
+    than one part in ``hot_keys`` of all rows.
     """
     order = [time, *ties]
-    hot = F.broadcast(
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), key)
-        .limit(hot_keys)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    time_slice = F.date_trunc(slice_unit, F.col(time))
+    rows = df.filter(F.col(key).isNotNull())
+    hot = largest_keys(rows, key, hot_rows, hot_keys)
+    if not hot:
+        sequenced = _within_keys(rows, key, order, value, output)
+    else:
+        spark = df.sparkSession
+        names = F.broadcast(spark.createDataFrame([(k,) for k in hot], df.select(key).schema))
+        parts = ordered_parts(rows.join(names, key, "left_semi"), key, order,
+                              sum(hot.values()) // max(hot_rows, 1) + 1)
+        cold = rows.join(names, key, "left_anti")
+        sequenced = _within_keys(cold, key, order, value, output).unionByName(
+            _across_parts(parts, key, order, value, output))
+    return sequenced.filter(F.col(time).isNotNull()).select(*df.columns, output)
 
-    rows = (
-        df.join(hot, key, "left")
-        .filter(F.col("_hot").isNull() | F.col(time).isNotNull())
-        .withColumn("_slice", F.when(F.col("_hot"), time_slice))
-    )
-    in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
-    rows = (
-        rows.withColumn("_prev", F.lag(F.struct(F.col(value).alias("v"))).over(in_slice))
-        .filter(F.col(time).isNotNull())
-    )
 
-    last_of_slice = (
-        df.join(hot, key, "inner")
-        .groupBy(key, time_slice.alias("_slice"))
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last"))
-    )
-    across = Window.partitionBy(key).orderBy("_slice")
-    openings = (
-        last_of_slice.withColumn("_opening", F.lag("_last").over(across))
-        .filter(F.col("_slice").isNotNull() & F.col("_opening").isNotNull())
-        .select(key, "_slice", "_opening")
-    )
-    before = F.coalesce("_prev", "_opening")
+def largest_keys(df: DataFrame, key: str, rows: int, limit: int) -> dict:
+    """The at most ``limit`` largest keys with more than ``rows`` rows, and their sizes."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
+    return {r[0]: r[1] for r in sizes.orderBy(F.desc("_n"), key).limit(limit).collect()}
+
+
+def ordered_parts(df: DataFrame, key: str, order: Sequence[str], count: int) -> DataFrame:
+    """``df`` cut into ``count`` even ranges of (key, order), numbered in ``_part``.
+
+    The range borders are sampled, so the result is checkpointed: each reader
+    must see the same cut.
+    """
+    ranged = df.repartitionByRange(count, key, *order)
+    return checkpointed(ranged.withColumn(PART, F.spark_partition_id()))
+
+
+def _within_keys(df: DataFrame, key: str, order: Sequence[str], value: str,
+                 output: str) -> DataFrame:
+    sequence = Window.partitionBy(key).orderBy(*order)
+    return df.withColumn(output, F.lag(value).over(sequence))
+
+
+def _across_parts(parts: DataFrame, key: str, order: Sequence[str], value: str,
+                  output: str) -> DataFrame:
+    """The first row of a key in a part follows the last row of the part before."""
+    held = F.struct(F.col(value).alias("v"))
+    in_part = Window.partitionBy(key, PART).orderBy(*order)
+    last = parts.groupBy(key, PART).agg(F.max_by(held, F.struct(*order)).alias("_last"))
+    openings = last.select(
+        key, PART, F.lag("_last").over(Window.partitionBy(key).orderBy(PART)).alias("_opening"))
     return (
-        rows.join(openings, [key, "_slice"], "left")
-        .withColumn(output, before["v"])
-        .select(*df.columns, output)
+        parts.withColumn("_prev", F.lag(held).over(in_part))
+        .join(openings, [key, PART], "left")
+        .withColumn(output, F.coalesce("_prev", "_opening")["v"])
+        .drop(PART, "_prev", "_opening")
     )
