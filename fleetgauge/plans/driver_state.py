@@ -1,7 +1,6 @@
 """Keyed driver risk state: evaluation, upsert, decay, reinstatement, audit rows.
 
-Functions take the state as a frame and return a frame; who stores it is in
-``plans.jobs`` and ``streaming.driver_state``.
+Functions take the state as a frame and return a frame; ``plans.stores`` keeps it.
 """
 
 from __future__ import annotations

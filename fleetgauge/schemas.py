@@ -28,14 +28,11 @@ def table(**columns: DataType) -> StructType:
         schema.add(name, data_type)
     return schema
 
+
 TELEMETRY = table(
     vin=STRING, speed=INT, rpm=INT, lat=DOUBLE, lon=DOUBLE, event_timestamp=BIGINT,
 )
 
-VEHICLE_REGISTRY = table(
-    vin=STRING, model=STRING, mfg_year=INT, fuel_type=STRING,
-)
-
 ASSET_HISTORY = table(
     vin=STRING, driver_id=STRING, start_date=DATE, end_date=DATE, daily_rate=DOUBLE,
     region=STRING, status=STRING, record_start_ts=TIMESTAMP, record_end_ts=TIMESTAMP,

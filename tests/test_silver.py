@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from fleetgauge.operators.dedup import keep_first, keep_one
 from fleetgauge.plans import silver
-from fleetgauge.schemas import RAW_COLUMNS, MissingColumns
+from fleetgauge.schemas import ASSET_HISTORY, RAW_COLUMNS, MissingColumns
 from fleetgauge.sources.files import read_or_empty, read_raw
-from fleetgauge.schemas import ASSET_HISTORY
 
 
 def test_csv_columns_bind_by_name_and_stay_text(spark, folder):
