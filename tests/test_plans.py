@@ -2,22 +2,22 @@
 
 import re
 
-import __spark_entry__ as entry_points
 import pytest
 from conftest import plan_of
 
 from fleetgauge.plans import assets, fuel, reports, silver
 from fleetgauge.plans import telemetry as tm
 from fleetgauge.plans.stores import AssetHistoryStore
+from samples.queries import QUERIES
 from samples.tables import FIRST_SNAPSHOT_END, FleetSample
 
 FOLDER = "/root/testdata/sf0.001"
-LAZY = sorted(set(entry_points.queries()) - {"publish_reports"})
+LAZY = sorted(set(QUERIES) - {"publish_reports"})
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_no_python_no_single_partition(spark, name):
-    plan = plan_of(entry_points.queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     assert not re.search("Cartesian|NestedLoop|EvalPython|InPandas|InArrow", plan)
     # a profile is one row, so its last step is one task
     if name != "quality_profile":
