@@ -46,7 +46,7 @@ def link_trust(settings: TrustSettings = TrustSettings()) -> str:
         SELECT host AS src, dst, count(*)::DOUBLE AS weight FROM (
             SELECT host, unnest(list_distinct(list_transform(regexp_extract_all(html,
                 '(?i)href\s*=\s*["'']?\s*[a-z][a-z0-9+.-]*://([^/?#"''\s<>]*)', 1),
-                x -> translate(x, {lower})))) AS dst FROM ruled)
+                lambda x: translate(x, {lower})))) AS dst FROM ruled)
         WHERE host <> '' AND dst <> '' AND host <> dst GROUP BY 1, 2),
     steps AS (
         SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS forward,
@@ -79,8 +79,8 @@ doc_windows AS (
     FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, lengths)),
 hits AS (SELECT row, i, d.n, item_id FROM doc_windows d JOIN windows USING (n, win)),
 hit_words AS (
-    SELECT row, count(DISTINCT at) AS n_hit
-    FROM (SELECT DISTINCT row, unnest(range(i, i + n)) AS at FROM hits) GROUP BY row),
+    SELECT row, count(DISTINCT place) AS n_hit
+    FROM (SELECT DISTINCT row, unnest(range(i, i + n)) AS place FROM hits) GROUP BY row),
 hit_items AS (
     SELECT row, count(item_id) AS n_items, coalesce(string_agg(item_id, ',' ORDER BY item_id), '') AS ids
     FROM (SELECT DISTINCT row, item_id::VARCHAR AS item_id FROM hits) GROUP BY row)
@@ -109,7 +109,7 @@ def mix_sources(settings: MixSettings = MixSettings()) -> str:
         FROM sources
         WINDOW w AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
     share AS (
-        SELECT coalesce(min((total - before) / open) FILTER (
+        SELECT coalesce(max((total - before) / open) FILTER (
             {most} * source_size > (total - before) / open * weight), 0)::DOUBLE AS share FROM ordered),
     targets AS (
         SELECT source, source_size, least({most} * source_size::DOUBLE, share * weight) AS target
