@@ -108,8 +108,10 @@ def ranked(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Makes this library importable in Python workers, once per application.
 
-    Spark serves the archive from the driver; workers need no folder shared with it.
+    Spark serves the archive from the driver; workers need no folder shared with it. Batches
+    of texts that go to them are kept small, since texts can be long.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     context = spark.sparkContext
     if getattr(context, "_fleetgauge_shipped", False):
         return

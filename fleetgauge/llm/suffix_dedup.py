@@ -25,7 +25,7 @@ from fleetgauge.llm.common import KEYS, broadcast_if_small, stage, text_key
 #: Windows of a text that are looked at at once.
 PIECE = 60_000
 #: Bytes of contexts that are sorted at once; a group of equal anchors is never split.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -37,26 +37,36 @@ class RepeatSettings:
     group: int = 8192
 
 
-@cache
-def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A random value per byte, powers of a random odd base, and of its inverse."""
+def _random(seed: int) -> tuple[np.ndarray, int]:
+    """A random odd value per byte, and an odd base."""
     rng = np.random.default_rng(seed)
     values = rng.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-    base = int(rng.integers(1 << 60, 1 << 61)) * 8 + 5
-    powers = lambda b: np.cumprod(np.r_[np.uint64(1), np.full(n, b, np.uint64)], dtype=np.uint64)
-    return values, powers(base), powers(pow(base, -1, 1 << 64))
+    return values, int(rng.integers(1 << 60, 1 << 61)) * 8 + 5
+
+
+@cache
+def _powers(seed: int, bits: int, inverse: bool = False) -> np.ndarray:
+    """Powers of the base, or of its inverse, below ``2 ** bits``."""
+    base = _random(seed)[1]
+    factor = np.uint64(pow(base, -1, 1 << 64) if inverse else base)
+    steps = np.full(1 << bits, factor, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+def _bits(data: np.ndarray) -> int:
+    return max(17, len(data).bit_length())
 
 
 def _prefix_hashes(data: np.ndarray, seed: int) -> np.ndarray:
-    values, powers, _ = _powers(seed, 1 << max(20, len(data).bit_length()))
-    return np.r_[np.uint64(0), np.cumsum(values[data] * powers[:len(data)], dtype=np.uint64)]
+    terms = _random(seed)[0][data] * _powers(seed, _bits(data))[:len(data)]
+    return np.r_[np.uint64(0), np.cumsum(terms, dtype=np.uint64)]
 
 
 def _string_hashes(data: np.ndarray, n: int, seed: int) -> np.ndarray:
     """Hash of the ``n`` bytes from each place on."""
     sums, m = _prefix_hashes(data, seed), len(data) - n + 1
-    inverse = _powers(seed, 1 << max(20, len(data).bit_length()))[2]
-    return mixed((sums[n:] - sums[:m]) * inverse[:m])
+    return mixed((sums[n:] - sums[:m]) * _powers(seed, _bits(data), True)[:m])
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -123,7 +133,7 @@ class _Sorter:
     def __init__(self, data: np.ndarray, at: np.ndarray, reach: np.ndarray, forward: bool, seed: int):
         self.data, self.at, self.reach, self.forward = data, at, reach, forward
         self.sums = _prefix_hashes(data, seed)
-        self.powers = _powers(seed, 1 << max(20, len(data).bit_length()))[1]
+        self.powers = _powers(seed, _bits(data))
 
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Longest common extension of suffixes ``i`` and ``j``, by binary search."""
@@ -305,16 +315,56 @@ def _window_hashes(settings: RepeatSettings):
     """``h, h2``: two independent hashes of every window of a context, with its place."""
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                data = np.frombuffer(bytes(row.bytes), np.uint8)
-                h, h2 = (_string_hashes(data, settings.length, s).view(np.int64) for s in (21, 22))
+            for start in range(0, len(batch), 500):
+                part = batch.iloc[start:start + 500]
+                data = [np.frombuffer(bytes(b), np.uint8) for b in part["bytes"]]
+                sizes = [len(d) - settings.length + 1 for d in data]
+                h, h2 = (np.concatenate([_string_hashes(d, settings.length, s) for d in data])
+                         for s in (21, 22))
                 yield pd.DataFrame({
-                    "h": h, "h2": h2, "_key": row[1], "_key2": row[2],
-                    "start": row.first + np.arange(len(h), dtype=np.int64)})
+                    "h": h.view(np.int64), "h2": h2.view(np.int64),
+                    "c": np.repeat(part["c"].to_numpy(np.int64), sizes),
+                    "c2": np.repeat(part["c2"].to_numpy(np.int64), sizes),
+                    "place": np.concatenate([np.arange(n, dtype=np.int64) for n in sizes])})
 
     return of
 
 
+def _spans_by_hash(placed: DataFrame, settings: RepeatSettings) -> DataFrame:
+    """Spans at frequent anchors, where no task sees a whole group.
+
+    Equal contexts are repeated from end to end. Of each different context the windows are
+    hashed to 128 bits and counted over the cluster.
+    """
+    rows = stage(placed.select(
+        *KEYS, "first", F.octet_length("bytes").cast("long").alias("size"), "bytes",
+        F.xxhash64("bytes").alias("c"), F.xxhash64(F.lit(5), F.col("bytes"), F.lit(9)).alias("c2")),
+        "frequent")
+    contexts = stage(rows.groupBy("c", "c2").agg(
+        F.count("*").alias("n"), F.min("bytes").alias("bytes")), "contexts")
+    windows = stage(contexts.select("c", "c2", "bytes").mapInPandas(
+        _window_hashes(settings), "h long, h2 long, c long, c2 long, place long"), "windows")
+    twice = stage(windows.groupBy("h", "h2").agg(F.count("*").alias("n")).filter("n > 1")
+                  .select("h", "h2"), "twice")
+    empty = F.array().cast("array<struct<a:bigint,b:bigint>>")
+    one = lambda a, b: F.array(F.struct(a.alias("a"), b.alias("b")))
+    joined = lambda runs, p: F.when(
+        (F.size(runs) > 0) & (F.get(runs, F.size(runs) - 1)["b"] == p - 1),
+        F.concat(F.slice(runs, 1, F.size(runs) - 1), one(F.get(runs, F.size(runs) - 1)["a"], p))
+    ).otherwise(F.concat(runs, one(p, p)))
+    found = (
+        windows.join(broadcast_if_small(twice), ["h", "h2"])
+        .groupBy("c", "c2").agg(F.collect_set("place").alias("places"))
+        .select("c", "c2", F.explode(F.aggregate(F.sort_array("places"), empty, joined)).alias("r"))
+        .select("c", "c2", F.col("r.a").alias("a"), (F.col("r.b") + settings.length).alias("b"))
+    )
+    equal = contexts.filter("n > 1").select(
+        "c", "c2", F.lit(0).cast("long").alias("a"), F.octet_length("bytes").cast("long").alias("b"))
+    parts = stage(found.union(equal), "frequent-spans")
+    return rows.drop("bytes").join(broadcast_if_small(parts), ["c", "c2"]).select(
+        *KEYS, (F.col("first") + F.col("a")).alias("start"), (F.col("first") + F.col("b")).alias("end"))
+
+
 def repeated_spans(texts: DataFrame, settings: RepeatSettings = RepeatSettings()) -> DataFrame:
     """``_key, _key2, start, end``: spans of ``texts (_key, _key2, text)`` that occur elsewhere.
 
@@ -336,13 +386,7 @@ def repeated_spans(texts: DataFrame, settings: RepeatSettings = RepeatSettings()
     )
     if counted.filter("frequent").isEmpty():
         return spans
-    hashed = stage(placed.filter("frequent").select(*kept).mapInPandas(
-        _window_hashes(settings), "h long, h2 long, _key long, _key2 long, start long"), "windows")
-    twice = stage(hashed.groupBy("h", "h2").agg(F.count("*").alias("n")).filter("n > 1")
-                  .select("h", "h2"), "twice")
-    found = hashed.join(broadcast_if_small(twice), ["h", "h2"]).select(
-        *KEYS, "start", (F.col("start") + settings.length).alias("end"))
-    return spans.union(found)
+    return spans.union(_spans_by_hash(placed.filter("frequent"), settings))
 
 
 def _cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
