@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.functions import rules
+from fleetgauge.plans.telemetry import SAFETY_COLUMNS
 from fleetgauge.settings import RiskSettings
 
 
@@ -53,7 +54,8 @@ def asset_history(tables: FleetTables) -> DataFrame:
 
 
 def driver_safety(tables: FleetTables) -> DataFrame:
-    return tables.safety_status
+    # the event table also holds the stream and batch that wrote a row
+    return tables.safety_status.select(*SAFETY_COLUMNS)
 
 
 def _events() -> Column:

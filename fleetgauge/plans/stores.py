@@ -37,8 +37,9 @@ class AssetHistoryStore:
 
     def read(self) -> DataFrame:
         """The whole history."""
-        archive = self.table.read_log("archived", ASSET_HISTORY)
-        return self.read_current().unionByName(archive.withColumn("is_current", F.lit(0)))
+        version = self.table.latest()  # one version for both parts
+        archive = self.table.read_log("archived", ASSET_HISTORY, version)
+        return self._current(version).unionByName(archive.withColumn("is_current", F.lit(0)))
 
     def _current(self, version: Version) -> DataFrame:
         # is_current is a folder of the write below, not a column of its files
@@ -83,37 +84,40 @@ class DriverStateStore:
         return self.table.read_log("audit", SUSPENSION_EVENT_HISTORY)
 
     def apply_events(self, scored: DataFrame, batch_id: int, as_of: Moment = None,
-                     **options) -> Version:
+                     stream_id: str = "", **options) -> Version:
         """Credit a micro-batch of new, scored events.
 
         The ledger holds the totals of open windows, so a window counts once
         however many batches it takes to fill, and is rated by its total so far.
-        A batch that was applied before is ignored.
+        A batch of the same stream that was applied before is ignored; batches of
+        other streams, such as one with a new checkpoint, count on their own.
         """
-        return self._retry(lambda base: self._apply_events(base, scored, batch_id, as_of, **options))
+        return self._retry(lambda base: self._apply_events(
+            base, scored, batch_id, as_of, stream_id, **options))
 
     def apply_window_totals(self, windows: DataFrame, batch_id: int, as_of: Moment = None,
-                            **options) -> Version:
+                            stream_id: str = "", **options) -> Version:
         """Add window totals as they come.
 
         A window that is emitted again with a larger total is added again as a
         whole. Use :meth:`apply_events` unless that is wanted.
         """
         def apply(base: Version) -> Version:
-            if self._seen(base, batch_id):
+            if self._seen(base, batch_id, stream_id):
                 return base
             # written, since state and audit both read it and a stream runs once
             place = self.table.write(ds.evaluate_windows(windows, self.settings), "evaluated")
             try:
                 return self._commit_evaluations(base, self._written(place), {},
-                                                {"batch_id": batch_id}, as_of, **options)
+                                                self._applied(base, batch_id, stream_id), as_of,
+                                                **options)
             finally:
                 self.table.discard(place)
 
         return self._retry(apply)
 
-    def has_applied(self, batch_id: int) -> bool:
-        return self._seen(self.table.latest(), batch_id)
+    def has_applied(self, batch_id: int, stream_id: str = "") -> bool:
+        return self._seen(self.table.latest(), batch_id, stream_id)
 
     def decay(self, as_of: Moment = None) -> Version:
         def apply(base: Version) -> Version:
@@ -139,19 +143,20 @@ class DriverStateStore:
     # --- steps
 
     def _apply_events(self, base: Version, scored: DataFrame, batch_id: int, as_of: Moment,
-                      **options) -> Version:
-        if self._seen(base, batch_id):
+                      stream_id: str, **options) -> Version:
+        if self._seen(base, batch_id, stream_id):
             return base
+        touch = base.number  # batch numbers of different streams may be equal
         fresh = flatten_window(driver_risk_aggregates(scored, self.stream))
         ledger = self.table.read("ledger", WINDOW_LEDGER, base)
         closed = self._closed_before(base)
-        place = self.table.write(ds.extend_ledger(ledger, fresh, batch_id, closed), "ledger")
+        place = self.table.write(ds.extend_ledger(ledger, fresh, touch, closed), "ledger")
         # From here on the written ledger is read: the batch is evaluated once.
         written = self._written(place)
-        evaluations = ds.evaluate_windows(written.filter(F.col("touched_batch") == batch_id),
+        evaluations = ds.evaluate_windows(written.filter(F.col("touched_batch") == touch),
                                           self.settings)
         latest = written.agg(F.max("last_event_time").cast("double").alias("t")).first()["t"]
-        properties = {"batch_id": batch_id, "latest_event": latest,
+        properties = {**self._applied(base, batch_id, stream_id), "latest_event": latest,
                       "latest_event_before": base.properties.get("latest_event")}
         return self._commit_evaluations(base, evaluations, {"ledger": place}, properties, as_of,
                                         **options)
@@ -190,8 +195,13 @@ class DriverStateStore:
         return self.spark.read.parquet(f"{self.table.path}/{place}")
 
     @staticmethod
-    def _seen(base: Version, batch_id: int) -> bool:
-        return batch_id <= base.properties.get("batch_id", -1)
+    def _seen(base: Version, batch_id: int, stream_id: str) -> bool:
+        return batch_id <= base.properties.get("batches", {}).get(stream_id, -1)
+
+    @staticmethod
+    def _applied(base: Version, batch_id: int, stream_id: str) -> dict:
+        """The last batch of each stream, with this one."""
+        return {"batches": {**base.properties.get("batches", {}), stream_id: batch_id}}
 
     def _retry(self, apply, attempts: int = 5) -> Version:
         """Start again from the new version if another writer was faster."""

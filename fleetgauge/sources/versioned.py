@@ -65,18 +65,26 @@ class VersionedTable:
             raise LookupError(f"{self.path} has no part {part} in version {version.number}")
         return empty_table(self.spark, schema)
 
-    def read_log(self, log: str, schema: StructType) -> DataFrame:
-        """All rows that the committed versions appended to ``log``."""
-        columns = schema.names
+    def read_log(self, log: str, schema: StructType, version: Version | None = None) -> DataFrame:
+        """All rows that versions up to the latest (or the given) one appended to ``log``."""
+        version = version or self.latest()
         rows = empty_table(self.spark, schema)
-        if self.exists(f"logs/{log}"):
-            rows = self.spark.read.schema(schema).parquet(f"{self.path}/logs/{log}").select(columns)
-        pending = self.latest().appended.get(log)
-        if pending and self.exists(pending):
+        moved = [n for n in self._log_numbers(log) if n <= version.number]
+        if moved:
+            folders = [f"{self.path}/logs/{log}/commit={n}" for n in moved]
+            rows = self.spark.read.schema(schema).parquet(*folders).select(schema.names)
+        pending = version.appended.get(log)
+        if pending and version.number not in moved:
             waiting = self.spark.read.schema(schema).parquet(f"{self.path}/{pending}")
-            rows = rows.unionByName(waiting.select(columns))
+            rows = rows.unionByName(waiting.select(schema.names))
         return rows
 
+    def _log_numbers(self, log: str) -> list[int]:
+        if not self.exists(f"logs/{log}"):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._at(f"logs/{log}"))]
+        return sorted(int(n.removeprefix("commit=")) for n in names if n.startswith("commit="))
+
     def exists(self, place: str) -> bool:
         return self._fs.exists(self._at(place))
 

@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge.operators.joins import sized_join_side
@@ -66,14 +67,15 @@ def start_driver_safety(messages: DataFrame, assignments: DataFrame, path: str,
 def start_driver_safety_current(messages: DataFrame, assignments: Dimension, path: str,
                                 checkpoint: str, settings: RiskSettings = RiskSettings(),
                                 stream: StreamSettings = StreamSettings(),
-                                trigger: dict | None = None) -> StreamingQuery:
+                                trigger: dict | None = None,
+                                stream_id: str | None = None) -> StreamingQuery:
     """Like :func:`start_driver_safety`, with the assignments read anew in every batch.
 
-    Rows are partitioned by batch_id as well, and a repeated batch replaces its
-    own partitions.
+    Rows are partitioned by stream_id and batch_id as well, and a repeated batch
+    replaces its own partitions. ``stream_id`` is that of the checkpoint if not given.
     """
 
-    write = _event_writer(assignments, path, settings, stream)
+    write = _event_writer(assignments, path, settings, stream, stream_id)
     return (
         clean_stream(messages, stream).writeStream.foreachBatch(write).outputMode("append")
         .option("checkpointLocation", checkpoint)
@@ -82,18 +84,27 @@ def start_driver_safety_current(messages: DataFrame, assignments: Dimension, pat
     )
 
 
+def _identity(batch: DataFrame, given: str | None) -> str:
+    """What tells the batches of this stream from those of others: the query's id.
+
+    It is kept in the checkpoint, so a restart has the same and a new checkpoint a new one.
+    """
+    return given or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _event_writer(assignments: Dimension, path: str, settings: RiskSettings,
-                  stream: StreamSettings) -> BatchFunction:
+                  stream: StreamSettings, stream_id: str | None) -> BatchFunction:
     def write(batch: DataFrame, batch_id: int) -> None:
         dimension = sized_join_side(assignments(), stream.broadcast_rows)
         events = driver_safety_status(batch, dimension, settings)
-        overwrite_partitions(events.selectExpr("*", f"{batch_id}L AS batch_id"), path,
-                             ["date", "hour", "batch_id"])
+        named = events.withColumns({"stream_id": F.lit(_identity(batch, stream_id)),
+                                    "batch_id": F.lit(batch_id).cast("bigint")})
+        overwrite_partitions(named, path, ["date", "hour", "stream_id", "batch_id"])
 
     return write
 
 
-def _once(store: DriverStateStore, apply: BatchFunction) -> BatchFunction:
+def _once(store: DriverStateStore, apply: BatchFunction, stream_id: str | None) -> BatchFunction:
     """``apply`` for batches the store does not have yet.
 
     A batch that it has is still computed, because the de-duplication state of
@@ -101,7 +112,7 @@ def _once(store: DriverStateStore, apply: BatchFunction) -> BatchFunction:
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if store.has_applied(batch_id):
+        if store.has_applied(batch_id, _identity(batch, stream_id)):
             batch.write.format("noop").mode("overwrite").save()
         else:
             apply(batch, batch_id)
@@ -132,16 +143,19 @@ def start_driver_risk_aggregates(messages: DataFrame, assignments: DataFrame, pa
 
 def start_driver_state(messages: DataFrame, assignments: Dimension, store: DriverStateStore,
                        checkpoint: str, trigger: dict | None = None,
-                       clock: Clock | None = None, **options) -> StreamingQuery:
+                       clock: Clock | None = None, stream_id: str | None = None,
+                       **options) -> StreamingQuery:
     """Keep the driver state up to date, event by event.
 
     The only streaming state is the de-duplication; window totals live in the
     ledger of the store. Assignments are read anew in every batch. ``options``
-    are ``cooldown_by_tier`` and ``true_previous``.
+    are ``cooldown_by_tier`` and ``true_previous``. ``stream_id`` is that of the
+    checkpoint if not given: a new checkpoint is a new stream, whose events all count.
+    To read old events again without counting them twice, give the id of before.
     """
-    credit = _state_writer(assignments, store, clock, options)
+    credit = _state_writer(assignments, store, clock, stream_id, options)
     return (
-        clean_stream(messages, store.stream).writeStream.foreachBatch(_once(store, credit))
+        clean_stream(messages, store.stream).writeStream.foreachBatch(_once(store, credit, stream_id))
         .outputMode("append").option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": store.stream.aggregate_trigger}))
         .queryName("driver_state_stream").start()
@@ -149,31 +163,33 @@ def start_driver_state(messages: DataFrame, assignments: Dimension, store: Drive
 
 
 def _state_writer(assignments: Dimension, store: DriverStateStore, clock: Clock | None,
-                  options: dict) -> BatchFunction:
+                  stream_id: str | None, options: dict) -> BatchFunction:
     def credit(batch: DataFrame, batch_id: int) -> None:
         dimension = sized_join_side(assignments(), store.stream.broadcast_rows)
         scored = score_events(enrich(batch, dimension), store.settings)
-        store.apply_events(scored, batch_id, clock() if clock else None, **options)
+        store.apply_events(scored, batch_id, clock() if clock else None,
+                           _identity(batch, stream_id), **options)
 
     return credit
 
 
 def start_events_and_state(messages: DataFrame, assignments: Dimension, path: str,
                            store: DriverStateStore, checkpoint: str, trigger: dict | None = None,
-                           clock: Clock | None = None, **options) -> StreamingQuery:
+                           clock: Clock | None = None, stream_id: str | None = None,
+                           **options) -> StreamingQuery:
     """Event table and driver state from one query.
 
     The source is read and de-duplicated once for both, where two queries would
     each do it with a state of their own.
     """
-    write = _event_writer(assignments, path, store.settings, store.stream)
-    credit = _state_writer(assignments, store, clock, options)
+    write = _event_writer(assignments, path, store.settings, store.stream, stream_id)
+    credit = _state_writer(assignments, store, clock, stream_id, options)
 
     def both(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write(batch, batch_id)
-            if not store.has_applied(batch_id):
+            if not store.has_applied(batch_id, _identity(batch, stream_id)):
                 credit(batch, batch_id)
         finally:
             batch.unpersist()
@@ -189,7 +205,7 @@ def start_events_and_state(messages: DataFrame, assignments: Dimension, path: st
 def start_driver_state_as_emitted(messages: DataFrame, assignments: DataFrame,
                                   store: DriverStateStore, checkpoint: str,
                                   trigger: dict | None = None, clock: Clock | None = None,
-                                  **options) -> StreamingQuery:
+                                  stream_id: str | None = None, **options) -> StreamingQuery:
     """Keep the driver state by adding every total that an updated window emits.
 
     A window that fills over several batches counts several times. It is here for
@@ -198,11 +214,11 @@ def start_driver_state_as_emitted(messages: DataFrame, assignments: DataFrame,
 
     def add(batch: DataFrame, batch_id: int) -> None:
         store.apply_window_totals(flatten_window(batch), batch_id, clock() if clock else None,
-                                  **options)
+                                  _identity(batch, stream_id), **options)
 
     return (
         _windowed(messages, assignments, store.settings, store.stream)
-        .writeStream.foreachBatch(_once(store, add)).outputMode("update")
+        .writeStream.foreachBatch(_once(store, add, stream_id)).outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": store.stream.aggregate_trigger}))
         .queryName("driver_state_as_emitted_stream").start()

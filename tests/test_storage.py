@@ -10,7 +10,7 @@ from fleetgauge.settings import PublishSettings
 from fleetgauge.sources.catalog import register_table
 from fleetgauge.sources.files import overwrite, overwrite_partitions
 from fleetgauge.sources.scratch import scratch_folder, staged
-from fleetgauge.sources.versioned import CommitConflict, VersionedTable
+from fleetgauge.sources.versioned import CommitConflict, Version, VersionedTable
 
 QUICK = PublishSettings(pause_seconds=0.0)
 
@@ -76,6 +76,17 @@ def test_log_rows_are_visible_before_they_are_moved(spark, folder, monkeypatch):
     assert values(table.read_log("audit", schema)) == [(0,), (1,)]
 
 
+def test_log_of_a_version_leaves_out_later_rows(spark, folder):
+    table = VersionedTable(spark, folder)
+    schema = spark.range(1).schema
+    versions, base = [], Version(0)
+    for n in range(3):
+        base = table.commit(base, {}, {"log": table.write(spark.range(n, n + 1), "log")})
+        versions.append(base)
+    for n, version in enumerate(versions):
+        assert values(table.read_log("log", schema, version)) == [(i,) for i in range(n + 1)]
+
+
 def test_partition_overwrite_can_be_repeated(spark, folder):
     rows = spark.range(4).selectExpr("id", "id % 2 AS p")
     overwrite_partitions(rows, folder, ["p"])

@@ -132,7 +132,8 @@ def test_events_and_state_from_one_query(spark, source, dimension, folder, frame
     store = DriverStateStore(spark, f"{folder}/state")
     for checkpoint in ("cp1", "cp2"):  # the second run repeats every batch
         run(sq.start_events_and_state(source.stream(), lambda: dimension, f"{folder}/out", store,
-                                      f"{folder}/{checkpoint}", trigger=ONCE, clock=lambda: NOW))
+                                      f"{folder}/{checkpoint}", trigger=ONCE, clock=lambda: NOW,
+                                      stream_id="fleet"))
         events = tm.driver_safety_status(source.batch(), dimension)
         assert values(spark.read.parquet(f"{folder}/out"), "vin", "event_timestamp", "driver_id",
                       "strike_score") == values(events, "vin", "event_timestamp", "driver_id", "strike_score")
@@ -152,16 +153,30 @@ def test_state_in_rocksdb(spark, source, dimension, folder):
     assert spark.read.parquet(f"{folder}/out").count() == expected.count()
 
 
-def test_replay_after_lost_checkpoint_changes_nothing(spark, source, dimension, folder):
+def test_replay_of_a_stream_changes_nothing(spark, source, dimension, folder):
     fill(source)
     store = DriverStateStore(spark, f"{folder}/state")
+    states = []
     for attempt in ("cp1", "cp2"):
         run(sq.start_driver_state(source.stream(), lambda: dimension, store, f"{folder}/{attempt}",
-                                  trigger=ONCE, clock=lambda: NOW))
-        state = values(store.read_state())
-        if attempt == "cp1":
-            before = state
-    assert state == before
+                                  trigger=ONCE, clock=lambda: NOW, stream_id="fleet"))
+        states.append(values(store.read_state()))
+    assert states[0] == states[1]
+
+
+def test_new_checkpoint_with_new_events_adds_them(spark, frame, folder):
+    vehicles = frame(DIMENSION,
+                     [("V1", "D1", 1.0, "N"), ("V2", "D2", 1.0, "S")])
+    store = DriverStateStore(spark, f"{folder}/state")
+    for vin in ("V1", "V2"):  # two streams on one store, both at batch 0
+        own = Telemetry(spark, f"{folder}/{vin}")
+        own.send(*[message(vin, i) for i in range(3)])
+        run(sq.start_events_and_state(own.stream(), lambda: vehicles, f"{folder}/out", store,
+                                      f"{folder}/cp-{vin}", trigger=ONCE, clock=lambda: NOW))
+    events = spark.read.parquet(f"{folder}/out")
+    assert values(events.select("vin").distinct()) == [("V1",), ("V2",)]
+    assert values(store.read_state(), "driver_id") == [("D1",), ("D2",)]
+    assert values(store.read_state(), "total_strike_score") == [(9,), (9,)]
 
 
 def test_as_emitted_counts_growing_windows_again(spark, source, dimension, folder):
