@@ -22,7 +22,8 @@ class LanguageSettings:
     sizes: tuple[int, ...] = (1, 2, 3, 4)
     buckets: int = 1 << 13
     width: int = 16
-    epochs: int = 10
+    #: Steps of gradient descent, whatever the size of the sample.
+    steps: int = 2000
     batch: int = 32
     rate: float = 0.5
     #: A score is rejected if documents that score so had less than this accuracy.
@@ -117,18 +118,18 @@ def train(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> L
     bias = np.zeros(len(languages), np.float32)
     # features are shares: the embedding's steps are scaled up by their usual size
     scale = np.float32(1 / max(1e-6, float((x[learn] ** 2).sum(axis=1).mean())))
-    for epoch in range(settings.epochs):
-        rate = settings.rate * (1 - epoch / settings.epochs)
-        for part in np.array_split(rng.permutation(learn), max(1, len(learn) // settings.batch)):
-            hidden = x[part] @ embed
-            error = _softmax(hidden @ out + bias)
-            error[np.arange(len(part)), y[part]] -= 1
-            error /= len(part)
-            back = error @ out.T
-            out -= rate * hidden.T @ error
-            bias -= rate * error.sum(axis=0)
-            used = np.flatnonzero(x[part].any(axis=0))
-            embed[used] -= rate * min(scale, 50.0) * (x[np.ix_(part, used)].T @ back)
+    for step in range(settings.steps):
+        rate = settings.rate * (1 - step / settings.steps)
+        part = rng.choice(learn, min(settings.batch, len(learn)), replace=False)
+        shares = x[part]
+        hidden = shares @ embed
+        error = _softmax(hidden @ out + bias)
+        error[np.arange(len(part)), y[part]] -= 1
+        error /= len(part)
+        back = error @ out.T
+        out -= rate * hidden.T @ error
+        bias -= rate * error.sum(axis=0)
+        embed -= np.float32(rate * min(scale, 50.0)) * (shares.T @ back)
     table = (embed @ out).astype(np.float64)
     logits = x[check] @ table + bias
     temperature = min(np.geomspace(0.5, 20, 41), key=lambda t: -np.log(
