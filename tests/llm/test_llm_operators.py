@@ -66,7 +66,7 @@ def test_query_equals_sql(spark, name):
 def test_all_operators_take_odd_rows_and_empty_tables(spark, frame, odd, nothing):
     labels = frame(LABELS, [(None, 1, 1), (2, None, None), (5, 1, 0), (5, 0, 1)])
     bench = frame(BENCH, [(1, "same text here"), (None, "one two three"), (2, None), (3, "")])
-    model = language_id.train(odd, language_id.LanguageSettings(epochs=2))
+    model = language_id.train(odd, language_id.LanguageSettings(steps=20))
     for docs, n in ((odd, 8), (nothing, 0)):
         for labelled, items in ((labels, bench), (labels.limit(0), bench.limit(0))):
             assert quality_rules.judge_quality(docs, labelled).count() == n
