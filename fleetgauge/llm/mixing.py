@@ -19,7 +19,7 @@ class MixSettings:
     #: Most passes over a source.
     most: int = 2
     #: Seeds among which each source takes the one that comes nearest to its target.
-    seeds: int = 16
+    seeds: int = 64
 
 
 def source_targets(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
@@ -54,9 +54,9 @@ def source_targets(docs: DataFrame, settings: MixSettings = MixSettings()) -> Da
                  "targets")
 
 
-def _draw(seed: int, doc_id: Column) -> Column:
+def _draw(seed: Column, doc_id: Column) -> Column:
     """A number in [0, 1) fixed by seed and document."""
-    digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))), 256)
+    digest = F.sha2(F.concat(seed.cast("string"), F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit(""))), 256)
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(16 ** 12)
 
 
@@ -76,7 +76,7 @@ def mix_copies(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFr
     fraction = F.col("_rate") - F.floor("_rate")
     joined = lean.join(targets.withColumnRenamed("source", "_source"),
                        F.col("source").eqNullSafe(F.col("_source"))).withColumn("_rate", rate)
-    extra = [F.sum(F.when(_draw(seed, F.col("doc_id")) < fraction, F.col("_size")).otherwise(0))
+    extra = [F.sum(F.when(_draw(F.lit(seed), F.col("doc_id")) < fraction, F.col("_size")).otherwise(0))
              .alias(f"_extra{seed}") for seed in range(settings.seeds)]
     totals = joined.groupBy("_source", "source_size", "target", "_rate").agg(*extra)
     away = F.array_sort(F.array(*[F.struct(
@@ -84,8 +84,7 @@ def mix_copies(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFr
         .alias("away"), F.lit(seed).alias("seed")) for seed in range(settings.seeds)]))
     chosen = stage(totals.select("_source", "source_size", "target", "_rate",
                                  away[0]["seed"].alias("_seed")), "seeds")
-    drawn = F.element_at(F.array(*[_draw(s, F.col("doc_id")) for s in range(settings.seeds)]),
-                         F.col("_seed") + 1)
+    drawn = _draw(F.col("_seed"), F.col("doc_id"))
     copies = F.floor("_rate") + F.when(drawn < fraction, 1).otherwise(0)
     kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     return (
