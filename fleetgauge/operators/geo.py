@@ -15,7 +15,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.operators.joins import has_at_most, sized_join_side
+from fleetgauge.operators.joins import fits_broadcast, sized_join_side
 
 FINE_DEGREES = 0.1
 COARSE_DEGREES = 5.0
@@ -74,7 +74,7 @@ def flag_zones(points: DataFrame, zones: DataFrame, output: str = "restricted_zo
                max_cells: int = MAX_CELLS) -> DataFrame:
     """Every point once, with 1 in ``output`` if any box contains it, else 0."""
     boxes = _zone_cells(zones, fine, coarse, max_cells)
-    if has_at_most(boxes, BROADCAST_CELLS):
+    if fits_broadcast(boxes, BROADCAST_CELLS):
         return _flag_by_lookup(points, F.broadcast(boxes), output, (fine, coarse))
     return _flag_by_halves(points, boxes.hint("merge"), output, (fine, coarse))
 

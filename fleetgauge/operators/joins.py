@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Text bytes and eight bytes a column up to which a side may be broadcast.
+BROADCAST_BYTES = 256 << 20
+
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Counts no further than ``rows + 1``."""
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(df: DataFrame, rows: int, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``rows`` rows and about ``size`` bytes; counted in parallel."""
+    width = reduce(add, [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8
+                         for c in df.columns])
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("size")).first()
+    return found["n"] <= rows and (found["size"] or 0) <= size
 
 
-def sized_join_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint how a batch frame is to be joined, after counting it.
+def sized_join_side(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint how a batch frame is to be joined, after measuring it.
 
-    With at most ``max_rows`` rows it is broadcast, otherwise it joins by sort
-    and merge, where adaptive execution can split hot keys. Use it where Spark
+    Up to both bounds it is broadcast, otherwise it joins by sort and merge, where
+    adaptive execution can split hot keys of a batch join. Use it where Spark
     cannot see sizes: stream-static joins, and frames that grow by ``explode``.
     """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df.hint("merge")
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df.hint("merge")

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.sources.scratch import checkpointed
-
-PART = "_part"
+#: Groups that the rows without a time are spread over; only the last of each goes on.
+UNTIMED_GROUPS = 1024
 
 
 def with_previous(
@@ -19,68 +18,34 @@ def with_previous(
     value: str,
     ties: Sequence[str],
     output: str,
-    hot_rows: int,
-    hot_keys: int,
+    piece: str = "HOUR",
 ) -> DataFrame:
     """Add ``output``: ``value`` of the row before, per key, by ``time`` then ``ties``.
 
     Rows without a time come before all others of their key and are not returned;
     nor are rows without a key.
 
-    A window runs each key in one task. Keys with more than ``hot_rows`` rows are
-    found first, by a count over the key column, and sequenced in parts of about
-    that size. Only the ``hot_keys`` largest are; any other key then holds less
-    than one part in ``hot_keys`` of all rows.
+    A window over a key runs it in one task. Here each key is cut into pieces of
+    time (a unit of ``date_trunc``), every key alike. A first window works inside
+    the pieces; a second one over the first and last rows of the pieces of a key
+    carries the value over the borders. So a task holds the rows of one key and
+    piece, or two rows for each piece of a key.
     """
     order = [time, *ties]
-    rows = df.filter(F.col(key).isNotNull())
-    hot = largest_keys(rows, key, hot_rows, hot_keys)
-    if not hot:
-        sequenced = _within_keys(rows, key, order, value, output)
-    else:
-        spark = df.sparkSession
-        names = F.broadcast(spark.createDataFrame([(k,) for k in hot], df.select(key).schema))
-        parts = ordered_parts(rows.join(names, key, "left_semi"), key, order,
-                              sum(hot.values()) // max(hot_rows, 1) + 1)
-        cold = rows.join(names, key, "left_anti")
-        sequenced = _within_keys(cold, key, order, value, output).unionByName(
-            _across_parts(parts, key, order, value, output))
-    return sequenced.filter(F.col(time).isNotNull()).select(*df.columns, output)
-
-
-def largest_keys(df: DataFrame, key: str, rows: int, limit: int) -> dict:
-    """The at most ``limit`` largest keys with more than ``rows`` rows, and their sizes."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
-    return {r[0]: r[1] for r in sizes.orderBy(F.desc("_n"), key).limit(limit).collect()}
-
-
-def ordered_parts(df: DataFrame, key: str, order: Sequence[str], count: int) -> DataFrame:
-    """``df`` cut into ``count`` even ranges of (key, order), numbered in ``_part``.
-
-    The range borders are sampled, so the result is checkpointed: each reader
-    must see the same cut.
-    """
-    ranged = df.repartitionByRange(count, key, *order)
-    return checkpointed(ranged.withColumn(PART, F.spark_partition_id()))
-
-
-def _within_keys(df: DataFrame, key: str, order: Sequence[str], value: str,
-                 output: str) -> DataFrame:
-    sequence = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn(output, F.lag(value).over(sequence))
-
-
-def _across_parts(parts: DataFrame, key: str, order: Sequence[str], value: str,
-                  output: str) -> DataFrame:
-    """The first row of a key in a part follows the last row of the part before."""
-    held = F.struct(F.col(value).alias("v"))
-    in_part = Window.partitionBy(key, PART).orderBy(*order)
-    last = parts.groupBy(key, PART).agg(F.max_by(held, F.struct(*order)).alias("_last"))
-    openings = last.select(
-        key, PART, F.lag("_last").over(Window.partitionBy(key).orderBy(PART)).alias("_opening"))
-    return (
-        parts.withColumn("_prev", F.lag(held).over(in_part))
-        .join(openings, [key, PART], "left")
-        .withColumn(output, F.coalesce("_prev", "_opening")["v"])
-        .drop(PART, "_prev", "_opening")
+    untimed = F.col(time).isNull()
+    # any spread will do: of rows without a time only the very last is followed
+    spread = F.when(untimed, F.pmod(F.xxhash64(*ties, value), F.lit(UNTIMED_GROUPS)))
+    inside = Window.partitionBy(key, "_piece", "_spread").orderBy(*order)
+    cut = (
+        df.filter(F.col(key).isNotNull())
+        .withColumns({"_piece": F.date_trunc(piece, F.col(time)), "_spread": spread})
+        .withColumns({"_before": F.lag(F.struct(F.col(value).alias("v"))).over(inside),
+                      "_after": F.lead(key).over(inside)})
+        .filter(~untimed | F.col("_after").isNull())
     )
+    first, last = F.col("_before").isNull(), F.col("_after").isNull()
+    # rows between stay with their piece, those at a border meet per key
+    borders = Window.partitionBy(key, "_between").orderBy(*order, ~first)
+    carried = cut.withColumn("_between", F.when(~first & ~last, F.col("_piece"))).withColumn(
+        output, F.when(first, F.lag(value).over(borders)).otherwise(F.col("_before.v")))
+    return carried.filter(~untimed).select(*df.columns, output)

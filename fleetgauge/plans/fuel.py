@@ -23,7 +23,7 @@ def audited_refuels(fuel: DataFrame, maintenance: DataFrame,
     stepped = with_previous(
         readings, key="vin", time="event_time", value="odometer_reading",
         ties=["transaction_id", "odometer_reading", "fuel_liters"], output="prev_odo",
-        hot_rows=settings.hot_key_rows, hot_keys=settings.hot_key_limit,
+        piece=settings.sequence_piece,
     )
     distance = F.col("odometer_reading") - F.col("prev_odo")
     service_days = maintenance.select("vin", F.to_date("service_date").alias("date"))

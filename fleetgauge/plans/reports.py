@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.functions import rules
-from fleetgauge.plans.telemetry import SAFETY_COLUMNS
 from fleetgauge.settings import RiskSettings
 
 
@@ -55,7 +54,7 @@ def asset_history(tables: FleetTables) -> DataFrame:
 
 def driver_safety(tables: FleetTables) -> DataFrame:
     # the event table also holds the stream and batch that wrote a row
-    return tables.safety_status.select(*SAFETY_COLUMNS)
+    return tables.safety_status.drop("stream_id", "batch_id")
 
 
 def _events() -> Column:

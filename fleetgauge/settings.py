@@ -61,10 +61,8 @@ class RiskSettings:
     decay_step: int = 1
     # fuel audit
     fuel_threshold_factor: float = 0.88
-    # a key with more rows than this is sequenced in parts of that size
-    hot_key_rows: int = 5_000_000
-    # how many such keys are cut; also bounds what is collected and broadcast for it
-    hot_key_limit: int = 1000
+    # unit of time that the readings of a vehicle are sequenced in, for date_trunc
+    sequence_piece: str = "HOUR"
 
 
 @dataclass(frozen=True)

@@ -33,14 +33,6 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` as computed once and kept in the scratch folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 @contextmanager
 def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
     """``df`` written once to the scratch folder, for the length of a ``with`` block.

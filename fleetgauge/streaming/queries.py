@@ -60,7 +60,7 @@ def start_driver_safety(messages: DataFrame, assignments: DataFrame, path: str,
         events.writeStream.format("parquet").outputMode("append").partitionBy("date", "hour")
         .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": stream.event_trigger}))
-        .queryName("driver_safety_stream").start()
+        .queryName("scored_events").start()
     )
 
 
@@ -80,7 +80,7 @@ def start_driver_safety_current(messages: DataFrame, assignments: Dimension, pat
         clean_stream(messages, stream).writeStream.foreachBatch(write).outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": stream.event_trigger}))
-        .queryName("driver_safety_current_stream").start()
+        .queryName("scored_events_current").start()
     )
 
 
@@ -137,7 +137,7 @@ def start_driver_risk_aggregates(messages: DataFrame, assignments: DataFrame, pa
         .writeStream.format("parquet").outputMode("append")
         .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": stream.aggregate_trigger}))
-        .queryName("driver_risk_aggregation_stream").start()
+        .queryName("risk_windows").start()
     )
 
 

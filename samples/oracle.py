@@ -40,8 +40,8 @@ def assignments(name: str, condition: str = "TRUE") -> str:
     return f"""
 {name} AS (
   SELECT vin, driver_id, start_date, CAST(NULL AS DATE) AS end_date, daily_rate, region
-  FROM (SELECT concat('VIN', CAST(1000 + o_custkey AS VARCHAR)) AS vin,
-               concat('D', CAST(o_custkey % 20 + 20 * (o_orderkey % 2) AS VARCHAR)) AS driver_id,
+  FROM (SELECT concat(CASE WHEN c_acctbal >= 0 THEN 'VIN' ELSE 'SPARE' END, CAST(1000 + o_custkey AS VARCHAR)) AS vin,
+               concat('D', CAST(CAST(floor(o_custkey / 8) * 2 + o_orderkey % 2 AS BIGINT) AS VARCHAR)) AS driver_id,
                CAST(o_orderdate AS DATE) AS start_date,
                CAST(500 + o_orderkey % 1000 AS DOUBLE) AS daily_rate, r_name AS region,
                row_number() OVER (PARTITION BY o_custkey
@@ -49,7 +49,7 @@ def assignments(name: str, condition: str = "TRUE") -> str:
         FROM orders JOIN customer ON o_custkey = c_custkey
                     JOIN nation ON c_nationkey = n_nationkey
                     JOIN region ON n_regionkey = r_regionkey
-        WHERE c_acctbal >= 0 AND {condition})
+        WHERE {condition})
   WHERE place = 1)"""
 
 
@@ -83,13 +83,21 @@ aggregates AS (
                        AT TIME ZONE 'UTC' AS TIMESTAMP) AS window_start FROM safety)
   GROUP BY window_start, driver_id)"""
 
-STATE = f"""{AGGREGATES},
+# Events of the newest ten minutes keep their windows open.
+CLOSED = f"""{AGGREGATES},
+closed AS (
+  SELECT * FROM aggregates
+  WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM clean))"""
+
+
+def state(applied: str) -> str:
+    """The driver state; ``applied`` is when the batch of a window came."""
+    return f"""{AGGREGATES},
 rated AS (
   SELECT *, greatest(total_strike_score - 2, 0) AS decay,
     CASE WHEN total_strike_score >= 25 THEN 3 WHEN total_strike_score >= 15 THEN 2
          WHEN total_strike_score >= 8 THEN 1 ELSE 0 END AS tier,
-    CASE WHEN window_start < TIMESTAMP '{BATCH_SPLIT}' THEN TIMESTAMP '{FIRST_BATCH}'
-         ELSE TIMESTAMP '{SECOND_BATCH}' END AS applied
+    {applied} AS applied
   FROM aggregates WHERE driver_id IS NOT NULL),
 tiers AS (
   SELECT * FROM (VALUES
@@ -113,6 +121,11 @@ state AS (
     total_restricted_zone_events, first_applied AS last_event_ts, last_applied AS updated_ts
   FROM per_driver JOIN tiers USING (tier))"""
 
+
+STATE = state(f"CASE WHEN window_start < TIMESTAMP '{BATCH_SPLIT}' THEN TIMESTAMP '{FIRST_BATCH}' "
+              f"ELSE TIMESTAMP '{SECOND_BATCH}' END")
+STREAM_STATE = state(f"TIMESTAMP '{FIRST_BATCH}'")
+
 # The state with some cooldowns over and some not.
 WAITING = f"""{STATE},
 waiting AS (
@@ -165,20 +178,20 @@ fleet AS (
 
 RAW = """
 raw_registry AS (
-  SELECT concat('VIN', CAST(1000 + c_custkey AS VARCHAR)) AS vin, c_mktsegment AS model,
+  SELECT concat(CASE WHEN c_acctbal < 9000 THEN 'VIN' ELSE 'OLD' END,
+                CAST(1000 + c_custkey AS VARCHAR)) AS vin, c_mktsegment AS model,
     CAST(2000 + c_custkey % 25 AS VARCHAR) AS mfg_year,
     CASE WHEN c_custkey % 3 = 0 THEN 'DIESEL' ELSE 'PETROL' END AS fuel_type
-  FROM customer WHERE c_acctbal < 9000),
+  FROM customer),
 raw_assignment AS (
-  SELECT concat('VIN', CAST(1000 + o_custkey AS VARCHAR)) AS vin,
-    concat('D', CAST(o_custkey % 20 + 20 * (o_orderkey % 2) AS VARCHAR)) AS driver_id,
+  SELECT concat(CASE WHEN c_acctbal >= 0 THEN 'VIN' ELSE 'SPARE' END, CAST(1000 + o_custkey AS VARCHAR)) AS vin,
+    concat('D', CAST(CAST(floor(o_custkey / 8) * 2 + o_orderkey % 2 AS BIGINT) AS VARCHAR)) AS driver_id,
     CAST(CAST(floor(epoch(o_orderdate)) AS BIGINT) AS VARCHAR) AS start_timestamp,
     CAST(NULL AS VARCHAR) AS end_timestamp,
     CASE WHEN o_orderkey % 103 = 0 THEN 'n/a'
          ELSE CAST(500 + o_orderkey % 1000 AS VARCHAR) END AS daily_rate, r_name AS region
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-              JOIN region ON n_regionkey = r_regionkey
-  WHERE c_acctbal >= 0),
+              JOIN region ON n_regionkey = r_regionkey),
 fuel_once AS (
   SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS transaction_id,
     concat('VIN', CAST(1000 + o_custkey AS VARCHAR)) AS vin,
@@ -193,8 +206,9 @@ raw_fuel AS (
   UNION ALL SELECT * EXCLUDE (o_orderkey) FROM fuel_once WHERE o_orderkey % 25 = 0),
 raw_maintenance AS (
   SELECT concat('VIN', CAST(1000 + o_custkey AS VARCHAR)) AS vin,
-    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS service_date, o_orderstatus AS service_type
-  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+    CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
+         ELSE 'n/a' END AS service_date, o_orderstatus AS service_type
+  FROM orders)"""
 
 SILVER = f"""{RAW},
 registry AS (
@@ -342,6 +356,15 @@ def expected() -> dict[str, str]:
         "driver_safety_status": f"WITH {SAFETY} {SAFETY_ROWS}",
         "driver_risk_aggregates": f"WITH {AGGREGATES} SELECT * FROM aggregates",
         "driver_risk_state": f"WITH {STATE} SELECT * FROM state",
+        "stream_driver_safety_status": f"WITH {SAFETY} {SAFETY_ROWS}",
+        "stream_risk_aggregates": f"WITH {CLOSED} SELECT * FROM closed",
+        "stream_driver_state": f"WITH {STREAM_STATE} SELECT * FROM state",
+        "previous_reading_hot_vin": f"""WITH {SILVER}
+            SELECT vin, transaction_id, lag(odometer_reading) OVER (PARTITION BY vin
+              ORDER BY event_time NULLS FIRST, transaction_id) AS previous_reading
+            FROM (SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 3 = 0 THEN vin
+                                    ELSE 'VIN0' END AS vin) FROM fuel)""",
+        "silver_from_csv": f"WITH {SILVER} SELECT * FROM fuel",
         "risk_evaluation_audit": f"""WITH {STATE} SELECT {_state_audit(
             'RISK_EVALUATION', "'ACTIVE'", 'suspension_status', 'suspension_reason')}
             FROM rated JOIN tiers USING (tier)""",

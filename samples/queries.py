@@ -14,16 +14,21 @@ from pyspark.sql import functions as F
 
 from fleetgauge.operators.geo import flag_zones, match_zones
 from fleetgauge.operators.quality import quality_profile
+from fleetgauge.operators.sequence import with_previous
 from fleetgauge.plans import assets, fuel, reports, silver, telemetry
 from fleetgauge.plans import driver_state as ds
 from fleetgauge.plans.publish import ParquetReports, publish_reports
-from fleetgauge.schemas import ASSET_HISTORY, DRIVER_RISK_STATE, empty_table
+from fleetgauge.plans.stores import DriverStateStore
+from fleetgauge.schemas import ASSET_HISTORY, DRIVER_RISK_STATE, RAW_COLUMNS, empty_table
+from fleetgauge.sources.files import read_raw
 from fleetgauge.sources.scratch import new_scratch_path, staged
+from fleetgauge.streaming import queries as streams
 from samples import oracle
 from samples.tables import FIRST_SNAPSHOT_END, FleetSample
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+ALL_NOW = {"availableNow": True}
 
 
 def query(function: Query) -> Query:
@@ -58,6 +63,15 @@ def silver_maintenance(spark: SparkSession, folder: str) -> DataFrame:
     return silver.maintenance_logs(FleetSample(spark, folder).raw_maintenance())
 
 
+@query
+def silver_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Fuel transactions by way of CSV files with their columns in another order."""
+    raw = FleetSample(spark, folder).raw_fuel()
+    path = new_scratch_path(spark, "fuel-csv")
+    raw.select(*reversed(raw.columns)).write.option("header", True).csv(path)
+    return silver.fuel_transactions(read_raw(spark, path, RAW_COLUMNS["fuel_transactions"]))
+
+
 # --- fuel audit and assets
 
 
@@ -69,6 +83,17 @@ def gold_fuel_efficiency(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(audit, "baseline_kmpl")
 
 
+@query
+def previous_reading_hot_vin(spark: SparkSession, folder: str) -> DataFrame:
+    """The reading before each refuel, with one vin in two thirds of all rows."""
+    hot = F.col("transaction_id").cast("bigint") % 3 != 0
+    fuel_rows = silver_fuel_transactions(spark, folder).withColumn(
+        "vin", F.when(hot, "VIN0").otherwise(F.col("vin")))
+    stepped = with_previous(fuel_rows, "vin", "event_time", "odometer_reading",
+                            ["transaction_id"], "previous_reading")
+    return stepped.select("vin", "transaction_id", "previous_reading")
+
+
 @query
 def gold_asset_history_scd2(spark: SparkSession, folder: str) -> DataFrame:
     """Two merges: the assignments up to a day, then all of them."""
@@ -170,6 +195,41 @@ def reinstatement_audit(spark: SparkSession, folder: str) -> DataFrame:
     return ds.reinstatement_audit(reinstatement(spark, folder))
 
 
+# --- streams, each run until all of its source is read
+
+
+@query
+def stream_driver_safety_status(spark: SparkSession, folder: str) -> DataFrame:
+    """The event table as the stream writes it."""
+    sample, path = FleetSample(spark, folder), new_scratch_path(spark, "stream-events")
+    streams.start_driver_safety_current(
+        sample.messages(stream=True), sample.dimension, path,
+        new_scratch_path(spark, "stream-checkpoint"), trigger=ALL_NOW).awaitTermination()
+    return spark.read.parquet(path).drop("processing_ts", "stream_id", "batch_id")
+
+
+@query
+def stream_risk_aggregates(spark: SparkSession, folder: str) -> DataFrame:
+    """The windows that the watermark has closed."""
+    sample, path = FleetSample(spark, folder), new_scratch_path(spark, "stream-windows")
+    streams.start_driver_risk_aggregates(
+        sample.messages(stream=True), sample.dimension(), path,
+        new_scratch_path(spark, "stream-checkpoint"), trigger=ALL_NOW).awaitTermination()
+    return rounded(telemetry.flatten_window(spark.read.parquet(path)), "avg_speed")
+
+
+@query
+def stream_driver_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored driver state after the stream has applied its batches."""
+    sample = FleetSample(spark, folder)
+    store = DriverStateStore(spark, new_scratch_path(spark, "stream-state"))
+    streams.start_driver_state(
+        sample.messages(stream=True), sample.dimension, store,
+        new_scratch_path(spark, "stream-checkpoint"), trigger=ALL_NOW,
+        clock=lambda: oracle.FIRST_BATCH).awaitTermination()
+    return store.read_state()
+
+
 # --- quality and reports
 
 

@@ -1,7 +1,7 @@
 """Fleet inputs derived from orders, customer, nation, region and events.
 
-Each customer is a vehicle, each order an assignment and a refuel, urgent orders
-are services; events are telemetry. Bad values, copies and gaps are put in on
+Each customer is a vehicle, each order an assignment, a refuel and a service;
+events are telemetry. Bad values, copies and gaps are put in on
 purpose. ``samples.oracle`` says the same in SQL.
 """
 
@@ -33,12 +33,15 @@ class FleetSample:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def _table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+    def _table(self, name: str, stream: bool = False) -> DataFrame:
+        path = f"{self.folder}/{name}.parquet"
+        if stream:  # a stream takes a single file only by a pattern
+            return self.spark.readStream.schema(TABLES[name]).parquet(path[:-1] + "?")
+        return self.spark.read.schema(TABLES[name]).parquet(path)
 
-    def events(self) -> DataFrame:
+    def events(self, stream: bool = False) -> DataFrame:
         """Parsed telemetry; every 20th event arrives twice, every 33rd has no speed."""
-        return self._table("events").selectExpr(
+        return self._table("events", stream).selectExpr(
             "concat('VIN', CAST(1000 + user_id AS STRING)) AS vin",
             "CASE WHEN event_id % 33 = 0 THEN NULL ELSE CAST(60 + (event_id * 37) % 81 AS INT) END AS speed",
             "CAST(1000 + (event_id * 53) % 4001 AS INT) AS rpm",
@@ -48,24 +51,25 @@ class FleetSample:
             "explode(CASE WHEN event_id % 20 = 0 THEN array(1, 2) ELSE array(1) END) AS copy",
         ).drop("copy")
 
-    def messages(self) -> DataFrame:
+    def messages(self, stream: bool = False) -> DataFrame:
         """The same telemetry as JSON messages."""
-        events = self.events()
+        events = self.events(stream)
         return events.select(
             F.to_json(F.struct(*events.columns)).cast("binary").alias("value"),
             F.timestamp_seconds("event_timestamp").alias("timestamp"),
         )
 
     def _assignments(self) -> DataFrame:
-        """Customers in debt have no assignment."""
-        customers = self._table("customer").filter("c_acctbal >= 0")
+        """Customers in debt have vehicles that send no telemetry. Eight vins share two drivers."""
         return (
-            self._table("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+            self._table("orders").join(self._table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self._table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self._table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .selectExpr(
-                "concat('VIN', CAST(1000 + o_custkey AS STRING)) AS vin",
-                "concat('D', CAST(o_custkey % 20 + 20 * (o_orderkey % 2) AS STRING)) AS driver_id",
+                "concat(CASE WHEN c_acctbal >= 0 THEN 'VIN' ELSE 'SPARE' END, "
+                "CAST(1000 + o_custkey AS STRING)) AS vin",
+                "concat('D', CAST(CAST(floor(o_custkey / 8) * 2 + o_orderkey % 2 AS BIGINT) "
+                "AS STRING)) AS driver_id",
                 "o_orderdate", "o_orderkey", "r_name AS region")
         )
 
@@ -96,9 +100,10 @@ class FleetSample:
             "region")
 
     def raw_registry(self) -> DataFrame:
-        """The richest customers are not registered."""
-        return self._table("customer").filter("c_acctbal < 9000").selectExpr(
-            "concat('VIN', CAST(1000 + c_custkey AS STRING)) AS vin", "c_mktsegment AS model",
+        """The richest customers registered under another number."""
+        return self._table("customer").selectExpr(
+            "concat(CASE WHEN c_acctbal < 9000 THEN 'VIN' ELSE 'OLD' END, "
+            "CAST(1000 + c_custkey AS STRING)) AS vin", "c_mktsegment AS model",
             "CAST(2000 + c_custkey % 25 AS STRING) AS mfg_year",
             "CASE WHEN c_custkey % 3 = 0 THEN 'DIESEL' ELSE 'PETROL' END AS fuel_type")
 
@@ -117,10 +122,11 @@ class FleetSample:
         ).drop("copy")
 
     def raw_maintenance(self) -> DataFrame:
-        """Urgent orders are services."""
-        return self._table("orders").filter("o_orderpriority = '1-URGENT'").selectExpr(
+        """Every order is a service, but only urgent ones have a date that can be read."""
+        return self._table("orders").selectExpr(
             "concat('VIN', CAST(1000 + o_custkey AS STRING)) AS vin",
-            "CAST(CAST(o_orderdate AS DATE) AS STRING) AS service_date",
+            "CASE WHEN o_orderpriority = '1-URGENT' "
+            "THEN CAST(CAST(o_orderdate AS DATE) AS STRING) ELSE 'n/a' END AS service_date",
             "o_orderstatus AS service_type")
 
     def zones(self) -> DataFrame:

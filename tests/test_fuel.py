@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from conftest import plan_of, values
 
-from fleetgauge.operators.sequence import largest_keys, ordered_parts, with_previous
+from fleetgauge.operators.sequence import with_previous
 from fleetgauge.plans.fuel import audited_refuels, fuel_efficiency
 from fleetgauge.settings import RiskSettings
 
@@ -81,9 +81,9 @@ def previous_by_hand(rows):
     return sorted(result, key=str)
 
 
-@pytest.mark.parametrize("hot_rows, hot_keys", [(10**9, 1000), (20, 1000), (20, 1), (3, 1000)])
+@pytest.mark.parametrize("piece", ["YEAR", "DAY", "HOUR", "MINUTE"])
 @pytest.mark.parametrize("moments", [300, 1])
-def test_cutting_hot_keys_changes_nothing(frame, hot_rows, hot_keys, moments):
+def test_pieces_of_time_change_nothing(frame, piece, moments):
     rng = random.Random(7)
     start = day("2024-01-01")
     rows = []
@@ -92,30 +92,21 @@ def test_cutting_hot_keys_changes_nothing(frame, hot_rows, hot_keys, moments):
         time = None if rng.random() < 0.1 else start + timedelta(minutes=10 * rng.randrange(moments))
         rows.append((key, time, tie, rng.choice([None, float(tie)])))
     df = frame("k STRING, t TIMESTAMP, i INT, v DOUBLE", rows + [(None, start, 1000, 1.0)])
-    got = with_previous(df, "k", "t", "v", ["i"], "p", hot_rows, hot_keys)
+    got = with_previous(df, "k", "t", "v", ["i"], "p", piece)
     assert values(got, "k", "i", "p") == sorted(
         previous_by_hand(rows), key=lambda row: tuple((v is not None, str(v)) for v in row))
 
 
-def test_parts_are_even_even_if_all_rows_have_one_time(spark):
-    df = spark.range(20000).selectExpr("'hot' AS k", "TIMESTAMP '2024-01-01 00:00:00' AS t", "id AS i")
-    parts = ordered_parts(df, "k", ["t", "i"], 20)
-    sizes = [r["count"] for r in parts.groupBy("_part").count().collect()]
-    assert len(sizes) == 20 and max(sizes) < 2 * 1000
-    borders = parts.groupBy("_part").agg({"i": "min"}).orderBy("_part").collect()
-    assert [b[1] for b in borders] == sorted(b[1] for b in borders)
+def test_equal_rows_at_a_border_follow_each_other(frame):
+    early, late = day("2024-01-01T00:59:00"), day("2024-01-01T01:00:00")
+    rows = [("k", early, 1, 5.0), ("k", late, 1, 7.0), ("k", late, 1, 7.0)]
+    got = with_previous(frame("k STRING, t TIMESTAMP, i INT, v DOUBLE", rows), "k", "t", "v", ["i"], "p")
+    assert values(got, "p") == [(None,), (5.0,), (7.0,)]
 
 
-def test_largest_keys(frame):
-    df = frame("k STRING", [("a",)] * 3 + [("b",)] * 5 + [("c",)])
-    assert largest_keys(df, "k", 2, 10) == {"b": 5, "a": 3}
-    assert largest_keys(df, "k", 2, 1) == {"b": 5}
-
-
-def test_audit_of_a_hot_vin(tables):
+def test_no_job_runs_before_the_audit_is_read_and_a_vin_is_cut(tables):
     rows = [(str(i), "V1", day("2024-01-01") + timedelta(hours=i), 1.0, float(i)) for i in range(50)]
     fuel, registry, maintenance = tables(rows)
-    plain = audited_refuels(fuel, maintenance)
-    cut = audited_refuels(fuel, maintenance, RiskSettings(hot_key_rows=10))
-    assert values(plain) == values(cut)
-    assert "_part" in plan_of(cut) and "_part" not in plan_of(plain)
+    audit = audited_refuels(fuel, maintenance)
+    assert "hashpartitioning(vin#" in plan_of(audit) and "_piece" in plan_of(audit)
+    assert values(audit) == values(audited_refuels(fuel, maintenance, RiskSettings(sequence_piece="YEAR")))

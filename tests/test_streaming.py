@@ -194,3 +194,10 @@ def test_large_dimension_is_not_broadcast(spark, frame):
     small, large = sized_join_side(spark.range(3), 3), sized_join_side(spark.range(4), 3)
     plan = lambda d: spark.range(9).join(d, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan(small) and "strategy=merge" in plan(large)
+
+
+def test_wide_dimension_is_not_broadcast(spark):
+    from fleetgauge.operators.joins import fits_broadcast
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) AS note")
+    assert fits_broadcast(wide, 10, 20_000) and not fits_broadcast(wide, 10, 10_000)
+    assert fits_broadcast(wide.filter("id < 0"), 0, 0)
