@@ -54,29 +54,42 @@ def source_targets(docs: DataFrame, settings: MixSettings = MixSettings()) -> Da
                  "targets")
 
 
-def _draw(seed: Column, doc_id: Column) -> Column:
-    """A number in [0, 1) fixed by seed and document."""
-    digest = F.sha2(F.concat(seed.cast("string"), F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit(""))), 256)
-    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(16 ** 12)
+#: A digest gives two whole numbers below this.
+RANGE = 16 ** 12
+
+
+def _with_digest(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_first`` and ``_step``, fixed by ``doc_id``, or by the text if that is null."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.sha2(F.coalesce("text", F.lit("")), 256))
+    digits = lambda at: F.conv(F.substring("_digest", at, 12), 16, 10).cast("long")
+    return (
+        docs.withColumn("_digest", F.sha2(name, 256))
+        .withColumns({"_first": digits(1), "_step": digits(13)}).drop("_digest")
+    )
+
+
+def _draw(seed: Column) -> Column:
+    """A number in [0, 1) fixed by seed and digest: draws of two seeds are independent."""
+    return F.pmod(F.col("_first") + seed.cast("long") * F.col("_step"), F.lit(RANGE)) / float(RANGE)
 
 
 def mix_copies(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
     """``docs`` with ``size, source_size, target, copies``: every row, none dropped or repeated.
 
     ``copies`` is ``floor(rate)`` and one more if the document's draw is below the fraction
-    of the rate, with ``rate = target / source_size``. Draws are fixed by ``doc_id`` (null: one
-    value) and a seed; of ``seeds`` fixed seeds each source takes the one whose words come
-    nearest to its target, found by one aggregation, so reruns agree. Null texts have size 0, a
+    of the rate, with ``rate = target / source_size``. Draws are fixed by a digest of ``doc_id``
+    (null: of the text) and a seed; of ``seeds`` fixed seeds each source takes the one whose
+    words come nearest to its target, found by one aggregation, so reruns agree. Null texts have size 0, a
     source without words gets rate 0. Columns named like the new ones are replaced.
     """
-    sized = docs.withColumn("_size", n_words_of(F.col("text")))
-    lean = stage(sized.select("doc_id", "source", "_size"), "sizes")
+    sized = _with_digest(docs.withColumn("_size", n_words_of(F.col("text"))))
+    lean = stage(sized.select("source", "_size", "_first", "_step"), "sizes")
     targets = source_targets(lean, settings)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     fraction = F.col("_rate") - F.floor("_rate")
     joined = lean.join(targets.withColumnRenamed("source", "_source"),
                        F.col("source").eqNullSafe(F.col("_source"))).withColumn("_rate", rate)
-    extra = [F.sum(F.when(_draw(F.lit(seed), F.col("doc_id")) < fraction, F.col("_size")).otherwise(0))
+    extra = [F.sum(F.when(_draw(F.lit(seed)) < fraction, F.col("_size")).otherwise(0))
              .alias(f"_extra{seed}") for seed in range(settings.seeds)]
     totals = joined.groupBy("_source", "source_size", "target", "_rate").agg(*extra)
     away = F.array_sort(F.array(*[F.struct(
@@ -84,11 +97,11 @@ def mix_copies(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFr
         .alias("away"), F.lit(seed).alias("seed")) for seed in range(settings.seeds)]))
     chosen = stage(totals.select("_source", "source_size", "target", "_rate",
                                  away[0]["seed"].alias("_seed")), "seeds")
-    drawn = _draw(F.col("_seed"), F.col("doc_id"))
+    drawn = _draw(F.col("_seed"))
     copies = F.floor("_rate") + F.when(drawn < fraction, 1).otherwise(0)
     kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     return (
-        sized.select(*kept, "_size")
+        sized.select(*kept, "_size", "_first", "_step")
         .join(chosen, F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("copies", copies.cast("long"))
         .select(*kept, F.col("_size").alias("size"), "source_size", "target", "copies")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fleetgauge.llm.link_trust import RULES, TrustSettings
-from fleetgauge.llm.mixing import MixSettings
+from fleetgauge.llm.mixing import RANGE, MixSettings
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -92,12 +92,14 @@ FROM doc_words LEFT JOIN hit_words USING (row) LEFT JOIN hit_items USING (row)
 
 def mix_sources(settings: MixSettings = MixSettings()) -> str:
     weights, n, most = list(settings.weights), len(settings.weights), settings.most
-    draw = ("('0x' || substr(sha256({seed} || ':' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT"
-            f"::DOUBLE / {float(16 ** 12)}")
+    digits = "('0x' || substr(digest, {}, 12))::BIGINT"
+    draw = f"(((first + {{seed}} * step) % {RANGE})::DOUBLE / {float(RANGE)})"
     return rf"""
     WITH sized AS (
-        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS size
-        FROM documents),
+        SELECT doc_id, source, size, {digits.format(1)} AS first, {digits.format(13)} AS step FROM (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS size,
+                   sha256(coalesce(doc_id::VARCHAR, sha256(coalesce(text, '')))) AS digest
+            FROM documents)),
     sources AS (
         SELECT source, sum(size)::BIGINT AS source_size,
                {weights}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {n} + 1)::INT] AS weight
