@@ -73,43 +73,49 @@ def _draw(seed: Column) -> Column:
     return F.pmod(F.col("_first") + seed.cast("long") * F.col("_step"), F.lit(RANGE)) / float(RANGE)
 
 
-def mix_copies(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
-    """``docs`` with ``size, source_size, target, copies``: every row, none dropped or repeated.
-
-    ``copies`` is ``floor(rate)`` and one more if the document's draw is below the fraction
-    of the rate, with ``rate = target / source_size``. Draws are fixed by a digest of ``doc_id``
-    (null: of the text) and a seed; of ``seeds`` fixed seeds each source takes the one whose
-    words come nearest to its target, found by one aggregation, so reruns agree. Null texts have size 0, a
-    source without words gets rate 0. Columns named like the new ones are replaced.
-    """
+def _mixed(docs: DataFrame, settings: MixSettings) -> DataFrame:
+    """``docs`` with ``_size, _source_size, _target, _copies``."""
     sized = _with_digest(docs.withColumn("_size", n_words_of(F.col("text"))))
     lean = stage(sized.select("source", "_size", "_first", "_step"), "sizes")
-    targets = source_targets(lean, settings)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    targets = source_targets(lean, settings).select(
+        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"),
+        F.col("target").alias("_target"))
+    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
     fraction = F.col("_rate") - F.floor("_rate")
-    joined = lean.join(targets.withColumnRenamed("source", "_source"),
-                       F.col("source").eqNullSafe(F.col("_source"))).withColumn("_rate", rate)
+    joined = lean.join(targets, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_rate", rate)
     extra = [F.sum(F.when(_draw(F.lit(seed)) < fraction, F.col("_size")).otherwise(0))
              .alias(f"_extra{seed}") for seed in range(settings.seeds)]
-    totals = joined.groupBy("_source", "source_size", "target", "_rate").agg(*extra)
+    totals = joined.groupBy("_source", "_source_size", "_target", "_rate").agg(*extra)
     away = F.array_sort(F.array(*[F.struct(
-        F.abs(F.floor("_rate") * F.col("source_size") + F.col(f"_extra{seed}") - F.col("target"))
+        F.abs(F.floor("_rate") * F.col("_source_size") + F.col(f"_extra{seed}") - F.col("_target"))
         .alias("away"), F.lit(seed).alias("seed")) for seed in range(settings.seeds)]))
-    chosen = stage(totals.select("_source", "source_size", "target", "_rate",
+    chosen = stage(totals.select("_source", "_source_size", "_target", "_rate",
                                  away[0]["seed"].alias("_seed")), "seeds")
-    drawn = _draw(F.col("_seed"))
-    copies = F.floor("_rate") + F.when(drawn < fraction, 1).otherwise(0)
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    copies = F.floor("_rate") + F.when(_draw(F.col("_seed")) < fraction, 1).otherwise(0)
     return (
-        sized.select(*kept, "_size", "_first", "_step")
-        .join(chosen, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("copies", copies.cast("long"))
-        .select(*kept, F.col("_size").alias("size"), "source_size", "target", "copies")
+        sized.join(chosen, F.col("source").eqNullSafe(F.col("_source")))
+        .withColumn("_copies", copies.cast("long"))
+        .select(*docs.columns, "_size", "_source_size", "_target", "_copies")
     )
 
 
+def mix_copies(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
+    """``docs`` with ``size, source_size, target, copies``: every row, none dropped or repeated.
+
+    ``copies`` is ``floor(rate)`` and one more if the document's draw is below the fraction
+    of the rate, with ``rate = target / source_size``. Draws are fixed by a digest of ``doc_id``
+    (null: of the text) and a seed; of ``seeds`` fixed seeds each source takes the one whose
+    words come nearest to its target, found by one aggregation, so reruns agree. Null texts
+    have size 0, a source without words gets rate 0. Columns named like the new ones are
+    replaced.
+    """
+    added = ("size", "source_size", "target", "copies")
+    kept = [c for c in docs.columns if c not in added]
+    return _mixed(docs.select(*kept), settings).select(
+        *kept, *[F.col(f"_{c}").alias(c) for c in added])
+
+
 def mix(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
-    """The mix itself: each document as often as it is taken, columns as in ``docs``."""
-    mixed = mix_copies(docs, settings).filter("copies > 0")
-    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return mixed.withColumn("_copy", copy).select(*docs.columns)
+    """The mix itself: each document as often as it is taken, all columns as in ``docs``."""
+    copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return _mixed(docs, settings).filter("_copies > 0").withColumn("_copy", copy).select(*docs.columns)

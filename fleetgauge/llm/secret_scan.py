@@ -187,6 +187,11 @@ def scan_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings()) -
     base span. Null texts have no spans; every row stays. A column named like the new one
     is replaced.
     """
+    return _scanned(docs.drop("secrets"), settings).withColumnRenamed("_secrets", "secrets")
+
+
+def _scanned(docs: DataFrame, settings: SecretSettings) -> DataFrame:
+    """``docs`` with ``_secrets``."""
     thresholds = stratum_thresholds(docs, settings)
     text = F.col("text")
 
@@ -197,7 +202,7 @@ def scan_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings()) -
     base = F.concat(*[ranked_spans(found, rank)
                       for rank, found in enumerate(base_matches(text).values())])
     none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    marked = docs.drop("secrets").withColumn("_base", F.when(text.isNull(), none).otherwise(base))
+    marked = docs.withColumn("_base", F.when(text.isNull(), none).otherwise(base))
     if not thresholds:
         random = none
     else:
@@ -207,7 +212,7 @@ def scan_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings()) -
             & ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))),
             len(KINDS) - 1)
         random = F.when(text.isNull(), none).otherwise(random)
-    return marked.withColumn("secrets", F.sort_array(F.concat("_base", random))).drop("_base")
+    return marked.withColumn("_secrets", F.sort_array(F.concat("_base", random))).drop("_base")
 
 
 def spans_text(spans: Column) -> Column:
@@ -222,7 +227,7 @@ def redact_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings(),
                    mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with each span, or each run of overlapping spans, replaced by ``mark``.
 
-    Rows and columns stay; ``n_chars``, where there is one, is counted anew for changed texts.
+    Rows and columns stay, also one named ``secrets``; ``n_chars``, where there is one, is counted anew for changed texts.
     """
     text = F.col("text")
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
@@ -233,12 +238,12 @@ def redact_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings(),
                      ).otherwise(a["out"])
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.alias("out"))
 
-    cut = F.aggregate("secrets", zero, step, lambda a: F.concat(
+    cut = F.aggregate("_secrets", zero, step, lambda a: F.concat(
         F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
-    clean = scan_secrets(docs, settings).withColumn(
-        "text", F.when(F.size("secrets") > 0, cut).otherwise(text))
+    clean = _scanned(docs, settings).withColumn(
+        "text", F.when(F.size("_secrets") > 0, cut).otherwise(text))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(
-            F.size("secrets") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)
+            F.size("_secrets") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)
         ).otherwise(F.col("n_chars")))
     return clean.select(*docs.columns)

@@ -82,6 +82,9 @@ def test_all_operators_take_odd_rows_and_empty_tables(spark, frame, odd, nothing
     found = {r.doc_id: r for r in decontaminate.find_contamination(odd, bench).collect()}
     assert found[6].n_hit == 3 and list(found[6].items) == [1] and not found[4].contaminated
     assert found[None].contaminated and list(found[None].items) == []
+    for same in (mixing.mix(odd), secret_scan.redact_secrets(odd), decontaminate.drop_contaminated(odd, bench)):
+        assert same.schema.simpleString() == odd.schema.simpleString()
+        assert values(same.select("copies", "secrets", "items").distinct()) == [("x", "x", "x")]
     kept = simhash_anchor.keep_one_each(odd)
     assert kept.columns == odd.columns
     assert values(kept.select("doc_id")) == [(None,), (1,), (4,), (5,)]
@@ -292,6 +295,14 @@ def test_mix_comes_near_its_targets(spark):
     assert mixing.mix(docs).count() == mixed.copies.sum()
 
 
+def test_mix_of_rows_without_ids(frame):
+    docs = frame("doc_id BIGINT, text STRING, source STRING",
+                 [(None, f"word {i}", "a") for i in range(400)] + [(i, f"word {i}", "b") for i in range(100)])
+    mixed = mixing.mix_copies(docs).groupBy("source").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect()
+    assert all(abs(r.taken - r.target) <= 0.02 * r.target for r in mixed)
+
+
 def test_ranks(spark):
     got = ranked(spark.range(100, 0, -1, 7).withColumnRenamed("id", "x"), [F.col("x").asc()], "r")
     assert got.filter("r <> x - 1").count() == 0
