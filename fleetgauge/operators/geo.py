@@ -58,23 +58,30 @@ def match_zones(points: DataFrame, zones: DataFrame, fine: float = FINE_DEGREES,
     result has the columns of both sides.
     """
     keys = ["_size", "_cell_lat", "_cell_lon"]
+    cells = _zone_cells(zones, fine, coarse, max_cells)
+    # a grid without a box is not looked into; there are two grids at most
+    sizes = [row[0] for row in cells.select("_size").distinct().collect()] or [fine]
+    size = F.explode(F.array(*map(F.lit, sizes))) if len(sizes) > 1 else F.lit(sizes[0])
     located = (
-        points.withColumn("_size", F.explode(F.array(F.lit(fine), F.lit(coarse))))
+        points.withColumn("_size", size)
         .withColumn("_cell_lat", _cell(F.col("lat"), F.col("_size")))
         .withColumn("_cell_lon", _cell(F.col("lon"), F.col("_size")))
     )
     within = (F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
               & F.col("lon").between(F.col("min_lon"), F.col("max_lon")))
-    boxes = sized_join_side(_zone_cells(zones, fine, coarse, max_cells), BROADCAST_CELLS)
+    boxes = sized_join_side(cells, BROADCAST_CELLS)
     return located.join(boxes, keys).filter(within).drop(*keys)
 
 
 def flag_zones(points: DataFrame, zones: DataFrame, output: str = "restricted_zone_flag",
                fine: float = FINE_DEGREES, coarse: float = COARSE_DEGREES,
-               max_cells: int = MAX_CELLS) -> DataFrame:
-    """Every point once, with 1 in ``output`` if any box contains it, else 0."""
+               max_cells: int = MAX_CELLS, broadcast_cells: int | None = None) -> DataFrame:
+    """Every point once, with 1 in ``output`` if any box contains it, else 0.
+
+    Boxes are broadcast up to ``broadcast_cells`` cells, if given, else ``BROADCAST_CELLS``.
+    """
     boxes = _zone_cells(zones, fine, coarse, max_cells)
-    if fits_broadcast(boxes, BROADCAST_CELLS):
+    if fits_broadcast(boxes, BROADCAST_CELLS if broadcast_cells is None else broadcast_cells):
         return _flag_by_lookup(points, F.broadcast(boxes), output, (fine, coarse))
     return _flag_by_halves(points, boxes.hint("merge"), output, (fine, coarse))
 

@@ -51,8 +51,10 @@ class ReportSink(Protocol):
 class ParquetReports:
     """Targets are versioned tables in one folder."""
 
-    def __init__(self, spark: SparkSession, path: str, keep_versions: int = 3):
+    def __init__(self, spark: SparkSession, path: str, keep_versions: int = 3,
+                 settings: PublishSettings = PublishSettings()):
         self.spark, self.path, self.keep_versions = spark, path.rstrip("/"), keep_versions
+        self.settings = settings
 
     def table(self, target: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.path}/{target}")
@@ -65,7 +67,7 @@ class ParquetReports:
             table.discard(part)
             return False
         table.commit(base, {"rows": part})
-        table.prune(self.keep_versions)
+        table.prune(self.keep_versions, self.settings.retained_seconds)
         return True
 
     def read(self, target: str) -> DataFrame:
@@ -83,7 +85,8 @@ class JdbcReports:
         with staged(rows, target) as copy:
             if profile.get["final_rows"] == 0:
                 return False
-            write_jdbc(copy, self.url, target, self.properties, self.settings.insert_chunk)
+            write_jdbc(copy, self.url, target, self.properties, self.settings.insert_chunk,
+                       self.settings.connections)
             return True
 
 

@@ -28,9 +28,10 @@ class AssetHistoryStore:
     The cost of a merge grows with the fleet, not with its history.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keep_versions: int = 48):
+    def __init__(self, spark: SparkSession, path: str, keep_versions: int = 48,
+                 keep_seconds: float = 3600.0):
         self.table = VersionedTable(spark, path)
-        self.keep_versions = keep_versions
+        self.keep_versions, self.keep_seconds = keep_versions, keep_seconds
 
     def read_current(self) -> DataFrame:
         return self._current(self.table.latest())
@@ -61,7 +62,7 @@ class AssetHistoryStore:
             {"current": kept} if self.table.exists(kept) else {},
             {"archived": archived} if self.table.exists(archived) else {},
         )
-        self.table.prune(self.keep_versions)
+        self.table.prune(self.keep_versions, self.keep_seconds)
         return version
 
 
@@ -188,7 +189,7 @@ class DriverStateStore:
             {"audit": self.table.write(audit, "audit")},
             {**base.properties, **(properties or {})},
         )
-        self.table.prune(self.stream.retained_versions)
+        self.table.prune(self.stream.retained_versions, self.stream.retained_seconds)
         return version
 
     def _written(self, place: str) -> DataFrame:

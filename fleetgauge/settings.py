@@ -75,8 +75,9 @@ class StreamSettings:
     max_offsets_per_trigger: int | None = None
     # a dimension with at most this many rows is broadcast to the stream
     broadcast_rows: int = 1_000_000
-    # committed versions of the driver state that stay readable
+    # committed versions of the driver state that stay readable, and for how long at least
     retained_versions: int = 10
+    retained_seconds: float = 3600.0
 
 
 @dataclass(frozen=True)
@@ -84,4 +85,8 @@ class PublishSettings:
     attempts: int = 3
     pause_seconds: float = 5.0
     insert_chunk: int = 1000
+    # connections that load a database table at once
+    connections: int = 8
+    # a replaced report stays readable so long at least
+    retained_seconds: float = 3600.0
     concurrent_reports: int = 4

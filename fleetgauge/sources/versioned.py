@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
+from itertools import takewhile
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -121,6 +122,10 @@ class VersionedTable:
         except Py4JJavaError as error:
             self._fs.delete(draft, False)
             if "AlreadyExists" in error.java_exception.getClass().getName():
+                kept = {_written_under(place) for place in base.parts.values()}
+                written = {*version.parts.values(), *version.appended.values()}
+                for place in {_written_under(place) for place in written} - kept:
+                    self.discard(place)
                 raise CommitConflict(f"version {version.number} of {self.path} exists") from error
             raise
         self._move_appended(version)
@@ -131,17 +136,22 @@ class VersionedTable:
         base = self.latest()
         return self.commit(base, {**base.parts, part: self.write(df, part)})
 
-    def prune(self, keep: int) -> None:
+    def prune(self, keep: int, seconds: float = 0) -> None:
         """Delete all but the newest ``keep`` versions and the data only they use.
 
-        Logs stay. What an old version appended was moved to them at the latest by
+        A version that was replaced less than ``seconds`` ago stays, however many are newer,
+        so a reader has that long to finish. Logs stay. What an old version appended was moved to them at the latest by
         the commit of the version after it.
         """
         numbers = self._numbers()
         if len(numbers) <= keep:
             return
-        in_use = {place for n in numbers[-keep:] for place in self._places(n)}
-        for number in numbers[:-keep]:
+        oldest = self._modified(numbers[-1]) - seconds * 1000
+        replaced = takewhile(lambda pair: self._modified(pair[1]) <= oldest,
+                             zip(numbers[:-keep], numbers[1:]))
+        old = [number for number, _ in replaced]
+        in_use = {place for n in numbers[len(old):] for place in self._places(n)}
+        for number in old:
             for place in self._places(number) - in_use:
                 self._fs.delete(self._at(place), True)
             self._fs.delete(self._commit_file(number), False)
@@ -154,6 +164,10 @@ class VersionedTable:
     def _commit_file(self, number: int):
         return self._at(f"commits/{number:020d}.json")
 
+    def _modified(self, number: int) -> int:
+        """When a version was committed, in milliseconds, by the clock of the file system."""
+        return self._fs.getFileStatus(self._commit_file(number)).getModificationTime()
+
     def _numbers(self) -> list[int]:
         if not self.exists("commits"):
             return []

@@ -390,6 +390,7 @@ def expected() -> dict[str, str]:
             _profile(f"'{target}' AS target, 'published' AS status", WIDTH[target], rows)
             for target, rows in {**SAFETY_REPORTS, **HISTORY_REPORTS}.items()),
     }
+    queries["zone_flag_by_merge"] = queries["zone_flag"]
     for target, rows in SAFETY_REPORTS.items():
         queries[REPORT_KEYS[target]] = f"WITH {SAFETY} {rows}"
     for target, rows in HISTORY_REPORTS.items():

@@ -150,6 +150,13 @@ def zone_flag(spark: SparkSession, folder: str) -> DataFrame:
     return flag_zones(_clean(sample), sample.zones())
 
 
+@query
+def zone_flag_by_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, with boxes that count as too many to be broadcast."""
+    sample = FleetSample(spark, folder)
+    return flag_zones(_clean(sample), sample.zones(), broadcast_cells=0)
+
+
 # --- driver state
 
 

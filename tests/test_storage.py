@@ -65,6 +65,31 @@ def test_logs_append_and_survive_pruning(spark, folder):
     assert table.read("rows", version=table._load(4)).count() == 3
 
 
+def test_versions_stay_as_long_as_readers_may_need_them(spark, folder):
+    table = VersionedTable(spark, folder)
+    for n in range(4):
+        table.replace("rows", spark.range(n))
+        table.prune(1, seconds=3600)
+    assert table.read("rows", version=table._load(2)).count() == 1
+    for number in (1, 2):  # replaced two hours ago, and one more that its successor replaced then
+        path = table._at(f"commits/{number + 1:020d}.json")
+        table._fs.setTimes(path, table._modified(4) - 7_200_000, -1)
+    table.prune(1, seconds=3600)
+    assert table._numbers() == [3, 4]
+    assert table.read("rows", version=table._load(3)).count() == 2
+
+
+def test_data_of_a_lost_conflict_is_discarded(spark, folder):
+    table = VersionedTable(spark, folder)
+    base = table.replace("kept", spark.range(1))
+    mine, log = table.write(spark.range(5), "rows"), table.write(spark.range(1), "audit")
+    table.replace("rows", spark.range(2))
+    with pytest.raises(CommitConflict):
+        table.commit(base, {**base.parts, "rows": mine}, {"audit": log})
+    assert not table.exists(mine) and not table.exists(log)
+    assert table.read("kept").count() == 1
+
+
 def test_log_rows_are_visible_before_they_are_moved(spark, folder, monkeypatch):
     schema = spark.range(1).schema
     table = VersionedTable(spark, folder)
