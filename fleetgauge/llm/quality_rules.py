@@ -1,4 +1,9 @@
-"""Quality rules: counts of the text itself, then a hashed n-gram log-likelihood ratio."""
+"""Quality rules: counts of the text itself, then an n-gram log-likelihood ratio.
+
+The n-grams (words and pairs of words, by 64-bit hashes) are counted in a distributed table that
+grows with the corpus. The least ratio of a kept document comes from good documents that the
+model has not seen, so it follows the model whatever the corpus.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.llm.common import (
-    KEYS, WHITE, broadcast_if_small, stage, text_key, words_of)
+    BROADCAST_BYTES, KEYS, WHITE, broadcast_if_small, stage, staged_bytes, text_key, words_of)
 
 SYMBOLS = "#*$%&|<>"
 
@@ -19,12 +24,15 @@ class QualitySettings:
     #: Most words in repeated windows, in hundredths.
     repeat_percent: int = 50
     window: int = 3
-    #: Buckets of the hashed n-grams: the size of the model, whatever the corpus.
-    buckets: int = 1 << 15
     #: Share of the corpus distribution in the smoothed target distribution.
     backoff: float = 0.5
-    #: Least mean log-likelihood ratio (nats an n-gram) of a document that is kept.
-    least_ratio: float = -0.04
+    #: One in so many good texts, by hash, is no part of the target and sets the least ratio.
+    held: int = 5
+    #: Share of those held-out good texts that may fall below the least ratio.
+    lost: float = 0.01
+    #: Most frequent n-grams that are looked up by broadcast if the table is too large for it.
+    frequent: int = 1 << 19
+
 
 
 def _hashes(words: Column) -> Column:
@@ -58,19 +66,16 @@ def _covered(grams: Column, n: int) -> Column:
 
 
 def base_counts(docs: DataFrame, settings: QualitySettings = QualitySettings()) -> DataFrame:
-    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``
-    and ``buckets``, the hashed n-grams (n = 1 and 2) of the text.
+    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``.
 
     Null and blank texts have zeros and fail. Windows are compared by 64-bit hashes within one
     text. Columns named like the new ones are replaced.
     """
-    added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-             "buckets")
+    added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     text = F.coalesce(F.col("text"), F.lit(""))
     without = lambda chars: F.length(F.translate(text, chars, ""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(WHITE)) != "")
     hashes = F.col("_hashes")
-    in_bucket = lambda h: F.pmod(h, F.lit(settings.buckets)).cast("int")
     n = settings.window
     counted = (
         docs.drop(*added)
@@ -81,8 +86,7 @@ def base_counts(docs: DataFrame, settings: QualitySettings = QualitySettings())
             "_lines": lines})
         .withColumns({
             "n_words": F.size("_hashes").cast("long"),
-            "_grams": _grams(hashes, n),
-            "buckets": F.transform(F.concat(hashes, _grams(hashes, 2)), in_bucket)})
+            "_grams": _grams(hashes, n)})
         .withColumns({
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": _covered(F.col("_grams"), n).cast("long")})
@@ -92,50 +96,93 @@ def base_counts(docs: DataFrame, settings: QualitySettings = QualitySettings())
     return counted.withColumn("base_failed", failed).drop("_hashes", "_lines", "_grams")
 
 
-def bucket_ratios(counted: DataFrame, labels: DataFrame,
-                  settings: QualitySettings = QualitySettings()) -> DataFrame:
-    """``bucket, ratio``: log of target over corpus probability, at most ``buckets`` rows.
+def _with_target(docs: DataFrame, labels: DataFrame, settings: QualitySettings) -> DataFrame:
+    """``docs`` (with ``KEYS``) with ``_good``, and ``_target``, which held-out good texts are not.
 
-    Target: documents that ``labels`` calls good (``quality`` 1 in all its rows). Corpus: all
-    documents. All their n-grams count. The target is mixed with ``backoff`` parts of the
-    corpus distribution, so a ratio is at least ``log(backoff)``; without a target all are 0.
+    Good are the documents that ``labels`` calls good (``quality`` 1 in all its rows).
     """
     good = stage(labels.groupBy("doc_id").agg(F.min("quality").alias("_quality"))
                  .filter("doc_id IS NOT NULL AND _quality = 1")
-                 .select(F.col("doc_id").alias("_id"), F.lit(1).alias("_good")), "good")
-    marked = counted.select("doc_id", "buckets").join(
-        broadcast_if_small(good), F.col("doc_id") == F.col("_id"), "left")
-    counts = stage(
-        marked.select(F.coalesce("_good", F.lit(0)).alias("good"),
-                      F.explode("buckets").alias("bucket"))
-        .groupBy("bucket").agg(F.count("*").alias("n"), F.sum("good").alias("n_good")), "counts")
-    row = counts.agg(F.sum("n"), F.sum("n_good")).first()
-    if not row[1]:
-        return stage(counts.select("bucket", F.lit(0.0).alias("ratio")), "ratios")
-    corpus, target = F.col("n") / F.lit(float(row[0])), F.col("n_good") / F.lit(float(row[1]))
-    mixed = (1 - settings.backoff) * target + settings.backoff * corpus
-    return stage(counts.select("bucket", F.log(mixed / corpus).alias("ratio")), "ratios")
+                 .select(F.col("doc_id").alias("_id"), F.lit(1).alias("_one")), "good")
+    is_good = F.col("_one").isNotNull()
+    unseen = F.pmod(F.col("_key2"), F.lit(settings.held)) == 0
+    return docs.join(broadcast_if_small(good), F.col("doc_id") == F.col("_id"), "left").withColumns(
+        {"_good": is_good, "_target": (is_good & ~unseen).cast("int")}).drop("_id", "_one")
+
+
+def gram_counts(grams: DataFrame) -> DataFrame:
+    """``gram, n, n_target`` of every n-gram that occurs twice or more, staged.
+
+    ``n`` counts all documents, ``n_target`` the target. One that occurs once needs no row: its
+    counts are those of the document that holds it.
+    """
+    return stage(
+        grams.groupBy("gram").agg(F.count("*").alias("n"), F.sum("_target").alias("n_target"))
+        .filter("n > 1"), "gram-counts")
+
+
+def _frequent(counts: DataFrame, most: int) -> int:
+    """Least power of two so that at most ``most`` n-grams occur so often."""
+    classes = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).count().collect()
+    total, least = 0, 63
+    for k, n in sorted(map(tuple, classes), reverse=True):
+        total += n
+        if total > most:
+            break
+        least = k
+    return 1 << least
+
+
+def text_ratios(grams: DataFrame, totals: tuple[int, int],
+                settings: QualitySettings = QualitySettings()) -> DataFrame:
+    """``KEYS, ratio``: mean log of target over corpus probability of the n-grams of a text.
+
+    ``totals`` are the n-grams of corpus and target. The target is mixed with ``backoff`` parts
+    of the corpus distribution, so a ratio is at least ``log(backoff)``. A table of counts that is
+    too large to broadcast is joined by shuffle; only its most frequent n-grams, which would
+    be hot keys of that join, are broadcast.
+    """
+    n = F.coalesce("n", F.lit(1))
+    share = F.coalesce("n_target", "_target") / n * F.lit(totals[0] / totals[1])
+    ratio = F.log((1 - settings.backoff) * share + settings.backoff)
+    summed = lambda rows: rows.groupBy(*KEYS).agg(
+        F.sum(ratio).alias("_sum"), F.count("*").alias("_n"))
+    counts = gram_counts(grams)
+    if staged_bytes(counts) <= BROADCAST_BYTES:
+        parts = summed(grams.join(F.broadcast(counts), "gram", "left"))
+    else:
+        least = _frequent(counts, settings.frequent)
+        often, rest = counts.filter(F.col("n") >= least), counts.filter(F.col("n") < least)
+        parts = summed(grams.join(F.broadcast(often), "gram")).union(summed(
+            grams.join(F.broadcast(often.select("gram")), "gram", "left_anti")
+            .join(rest, "gram", "left")))
+    return parts.groupBy(*KEYS).agg(F.round(F.sum("_sum") / F.sum("_n"), 9).alias("ratio"))
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame,
                   settings: QualitySettings = QualitySettings()) -> DataFrame:
     """Per document ``doc_id``, the columns of ``base_counts``, ``ratio`` and ``kept``.
 
-    ``ratio`` is the mean log ratio of the text's n-grams, 0 if it has none. ``kept`` is false
-    if ``base_failed``, else true if ``ratio`` is ``least_ratio`` or more. Repeated rows stay;
-    equal texts get equal ratios. Texts are read once: what follows works on their buckets.
+    ``ratio`` is the mean log ratio of the text's n-grams, 0 if it has none or if there is no
+    target. ``kept`` is false if ``base_failed``, else true if ``ratio`` reaches what all but the
+    share ``lost`` of the held-out good texts reach. Repeated rows stay; equal texts get equal
+    ratios. The n-grams are never stored with the texts: they are taken anew from them.
     """
     keyed = dict(zip(KEYS, text_key(F.col("text")), strict=True))
-    counted = stage(base_counts(docs.select("doc_id", "text").withColumns(keyed), settings)
-                    .drop("text"), "counted")
-    ratios = bucket_ratios(counted, labels, settings)
-    scored = (
-        counted.select(*KEYS, F.explode("buckets").alias("bucket"))
-        .join(F.broadcast(ratios), "bucket")  # at most `buckets` rows
-        .groupBy(*KEYS).agg(F.round(F.avg("ratio"), 9).alias("ratio"))
-    )
-    return (
-        counted.drop("buckets").join(scored, KEYS, "left").drop(*KEYS)
-        .withColumn("ratio", F.coalesce("ratio", F.lit(0.0)))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= settings.least_ratio))
-    )
+    marked = _with_target(docs.select("doc_id", "text").withColumns(keyed), labels, settings)
+    counted = stage(base_counts(marked, settings).drop("text"), "counted")
+    size = F.col("n_words") + F.greatest(F.col("n_words") - 1, F.lit(0))
+    totals = counted.agg(F.sum(size), F.sum(size * F.col("_target"))).first()
+    if not totals[1]:
+        return counted.drop(*KEYS, "_good", "_target").withColumns(
+            {"ratio": F.lit(0.0), "kept": ~F.col("base_failed")})
+    hashes = _hashes(words_of(F.col("text")))
+    grams = marked.withColumn("_hashes", hashes).select(*KEYS, "_target", F.explode(
+        F.concat("_hashes", _grams(F.col("_hashes"), 2))).alias("gram"))
+    ratios = text_ratios(grams, (totals[0], totals[1]), settings)
+    judged = stage(counted.join(ratios, KEYS, "left").drop(*KEYS).withColumn(
+        "ratio", F.coalesce("ratio", F.lit(0.0))), "judged")
+    least = judged.filter("_good AND _target = 0 AND NOT base_failed").agg(
+        F.percentile_approx("ratio", settings.lost, 10000)).first()[0]
+    enough = F.lit(True) if least is None else F.col("ratio") >= least
+    return judged.drop("_good", "_target").withColumn("kept", ~F.col("base_failed") & enough)

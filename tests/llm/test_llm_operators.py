@@ -201,6 +201,35 @@ def test_quality_model_tells_good_from_bad(spark):
     assert got[got.quality == 0].kept.mean() < 0.2
 
 
+def test_quality_ratio_counts_every_gram_and_growth_keeps_the_verdicts(spark, frame):
+    # 400,000 different words: 2**15 buckets would hold about 37 n-grams each
+    rng = np.random.default_rng(5)
+    kinds = {1: [f"g{i}" for i in range(3000)], 0: [f"b{i}" for i in range(3000)]}
+    rows = [(i, " ".join([*rng.choice(kinds[i % 2], 60), *(f"x{i}y{k}" for k in range(40))])) for i in range(10_000)]
+    labels = [(i, i % 2, 0) for i in range(0, 10_000, 3)]
+    docs, labelled = frame("doc_id BIGINT, text STRING", rows), frame(LABELS, labels)
+    got = quality_rules.judge_quality(docs, labelled).toPandas().set_index("doc_id")
+    assert got[got.index % 2 == 0].kept.mean() == 0
+    assert got[got.index % 2 == 1].kept.mean() > 0.95
+    held = {r.doc_id for r in quality_rules._with_target(
+        docs.withColumns(dict(zip(quality_rules.KEYS, quality_rules.text_key(F.col("text")), strict=True))),
+        labelled, quality_rules.QualitySettings()).filter("_target = 1").collect()}
+    grams = {i: (w := t.split()) + list(zip(w, w[1:], strict=False)) for i, t in rows}
+    every, target = Counter(), Counter()
+    for i, g in grams.items():
+        every.update(g)
+        if i in held:
+            target.update(g)
+    a, b = sum(every.values()), sum(target.values())
+    for i in (0, 1, 2, 3, 9):
+        plain = np.mean([np.log(0.5 * target[g] / b / (every[g] / a) + 0.5) for g in grams[i]])
+        assert got.ratio[i] == pytest.approx(plain, abs=1e-6)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality_rules, "BROADCAST_BYTES", 0)
+        again = quality_rules.judge_quality(docs, labelled, quality_rules.QualitySettings(frequent=1000)).toPandas()
+    assert (again.set_index("doc_id").ratio - got.ratio).abs().max() < 1e-8
+
+
 def plain_simhash(text):
     words = (text or "").encode().lower().split()
     if not words:
