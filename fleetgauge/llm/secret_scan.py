@@ -140,12 +140,18 @@ def _p_value(found: Column, encoding: Column) -> Column:
 def candidates(text: Column, settings: SecretSettings) -> Column:
     """``(start, end, stratum, p)`` of runs that look like an encoded key.
 
-    Runs of ``least`` or more characters of base64 or its URL form that are in one alphabet
-    and hold letters and digits. The stratum is the encoding and the class of the length.
+    Runs of ``least`` or more characters of base64 or its URL form, and their pieces that are so
+    long when ``/``, ``-`` and ``_``, or all of these, end a run, as they do in paths and names. A run
+    or piece is in one alphabet and holds letters and digits. The stratum is the encoding and
+    the class of the length.
     """
-    run = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{settings.least},}}"
+    def runs(marks: str) -> Column:
+        chars = f"A-Za-z0-9+{marks}"
+        return _matches(text, rf"(?<![{chars}])[{chars}]{{{settings.least},}}", text.rlike("[0-9]"))
+
     mixed = lambda m: m["found"].rlike("[0-9]") & m["found"].rlike("[A-Za-z]")
-    coded = F.transform(F.filter(_matches(text, run, text.rlike("[0-9]")), mixed), lambda m: F.struct(
+    found = F.array_distinct(F.concat(*[runs(marks) for marks in ("/_-", "_-", "/", "")]))
+    coded = F.transform(F.filter(found, mixed), lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"), m["found"].alias("found"),
         _encoding(m["found"]).alias("encoding")))
     length = lambda m: reduce(lambda a, b: a + b, [
@@ -184,7 +190,7 @@ def scan_secrets(docs: DataFrame, settings: SecretSettings = SecretSettings()) -
     """``docs`` with ``secrets``: ``(start, rank, end)`` of all spans in order, ranks into ``KINDS``.
 
     Base spans always stay. A run found by the tests is added as ``random`` if it meets no
-    base span. Null texts have no spans; every row stays. A column named like the new one
+    base span, and a piece of a run if no longer one around it is added. Null texts have no spans; every row stays. A column named like the new one
     is replaced.
     """
     return _scanned(docs.drop("secrets"), settings).withColumnRenamed("_secrets", "secrets")
@@ -207,10 +213,13 @@ def _scanned(docs: DataFrame, settings: SecretSettings) -> DataFrame:
         random = none
     else:
         limits = F.create_map(*[F.lit(x) for pair in thresholds.items() for x in pair])
-        random = ranked_spans(F.filter(candidates(text, settings), lambda c: (
+        passed = F.filter(candidates(text, settings), lambda c: (
             F.coalesce(c["p"] >= limits[c["stratum"]], F.lit(False))
-            & ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))),
-            len(KINDS) - 1)
+            & ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))))
+        whole = _once(passed, lambda all_: F.filter(all_, lambda c: ~F.exists(all_, lambda o: (
+            (o["start"] <= c["start"]) & (c["end"] <= o["end"])
+            & (o["end"] - o["start"] > c["end"] - c["start"])))))
+        random = ranked_spans(whole, len(KINDS) - 1)
         random = F.when(text.isNull(), none).otherwise(random)
     return marked.withColumn("_secrets", F.sort_array(F.concat("_base", random))).drop("_base")
 

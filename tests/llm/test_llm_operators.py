@@ -175,6 +175,23 @@ def test_random_runs_are_found_and_words_are_not(frame):
     assert red[9] == "é [REDACTED] and"
 
 
+def test_random_keys_in_paths_are_found_and_redacted(frame):
+    rng = np.random.default_rng(4)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    paths = ("example/api-v2/hooks/%s", "customers/%s", "nightly-backup_%s", "a/b-c/%s/d_e-f")
+    keys = ["".join(rng.choice(letters, 40)) for _ in range(80)]
+    docs = [(i, f"see {paths[i % 4] % k} there") for i, k in enumerate(keys)] + [
+        (100, "docs/api-v2/internationalization/of_2nd-generation-systems")]
+    red = {r.doc_id: r.text for r in secret_scan.redact_secrets(frame("doc_id BIGINT, text STRING", docs)).collect()}
+    for path in range(4):
+        assert sum(keys[i] not in red[i] for i in range(path, 80, 4)) >= 15
+    assert "see example/api-v2/hooks/[REDACTED] there" in red.values()
+    assert red[100] == docs[80][1]
+    spans = [[(s["start"], s["end"]) for s in r.secrets] for r in secret_scan.scan_secrets(
+        frame("doc_id BIGINT, text STRING", docs)).collect()]
+    assert all(a[1] <= b[0] for found in spans for a, b in zip(found, found[1:], strict=False))
+
+
 def plain_base(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     grams = Counter(zip(words, words[1:], words[2:], strict=False))
