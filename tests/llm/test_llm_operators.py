@@ -362,6 +362,37 @@ def test_toxicity_of_held_out_documents(spark):
     assert held[held.toxic == 1].score.mean() > held[held.toxic == 0].score.mean() + 0.4
 
 
+def test_toxicity_counts_every_word_and_predecessor(frame, spark):
+    # 300,000 ordinary words: with 2**18 slots most slots of toxic words are shared
+    rows = [(f"{'q' * (i % 3)}vile{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} common", True) for i in range(600)]
+    letters = np.array(list("bcdfghjklmnp"))
+    rng = np.random.default_rng(6)
+    rows += [(" ".join(map("".join, rng.choice(letters, (1500, 6)))), False) for _ in range(200)]
+    made = frame("text STRING, toxic BOOLEAN", rows).withColumn("check", F.lit(False))
+    counts = toxicity.count_table(made, toxicity.ToxicitySettings())
+    got = {r.key: r for r in counts.filter("NOT begins").collect()}
+    n, before = Counter(), {}
+    for text, toxic in rows:
+        words = text.split()
+        n.update((w, toxic) for w in words)
+        for a, b in zip(["", *words], words, strict=False):
+            before.setdefault(b, set()).add(a)
+    key = lambda w: int(toxicity._hashes(w, 5)[0][0])
+    assert len(got) == len(before) > 250_000
+    for w in ("common", *list(before)[::5000]):
+        assert (got[key(w)].n0, got[key(w)].n1, got[key(w)].m) == (n[w, False], n[w, True], len(before[w]))
+    assert got[key("common")].m1 > 266
+
+
+def test_toxicity_by_join_equals_by_broadcast(spark, odd, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    both = docs.select("doc_id", "text").union(odd.select("doc_id", "text"))
+    one = values(toxicity.score_toxicity(both, model).select("doc_id", F.round("score", 9), "predicted"))
+    monkeypatch.setattr(toxicity, "BROADCAST_BYTES", 0)
+    assert values(toxicity.score_toxicity(both, model).select("doc_id", F.round("score", 9), "predicted")) == one
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, "documents")
     labels, bench = table(spark, "labels"), table(spark, "benchmark")
