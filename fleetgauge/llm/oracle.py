@@ -137,6 +137,18 @@ def mix_sources(settings: MixSettings = MixSettings()) -> str:
     """
 
 
+EXACT_DUPLICATES = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
+    FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id,
+       count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept,
+       sha256(t) AS text_sha256
+FROM texts
+"""
+
+
 def expected() -> dict[str, str]:
     return {"op2_link_trust": link_trust(), "op7_decontaminate": DECONTAMINATE,
-            "op9_mix_sources": mix_sources()}
+            "op9_mix_sources": mix_sources(), "op11_exact_dedup": EXACT_DUPLICATES}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.llm import (
     decontaminate,
+    exact_dedup,
     html_main_text,
     language_id,
     link_trust,
@@ -97,6 +98,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_main_text, op2_link_trust, op3_language_id, op4_secret_scan, op5_quality_rules, op6_simhash,
-    op7_decontaminate, op8_suffix_dedup, op9_mix_sources, op10_toxicity)}
+    op7_decontaminate, op8_suffix_dedup, op9_mix_sources, op10_toxicity, op11_exact_dedup)}
