@@ -127,10 +127,13 @@ def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Taken:
-    """What a batch adds: ``counted (_digest, n, first)``, its digests that earlier snapshots hold
-    (``known``), and digests that more than one text has (``collided``)."""
+    """What a batch adds: ``counted (_digest, n, first)``; the different ``texts`` of its digests that
+    repeat or passed a filter (``wanted``); its digests that earlier snapshots hold (``known``), and
+    digests that more than one text has (``collided``)."""
 
     counted: DataFrame
+    wanted: DataFrame
+    texts: DataFrame
     known: DataFrame
     collided: DataFrame
 
@@ -146,12 +149,23 @@ def take_in(rows: DataFrame, counted: DataFrame, snapshots: list[Snapshot],
     known = texts.select("_digest").limit(0)
     for snapshot in snapshots:
         met = stage(
-            snapshot.exact.select("_digest", F.col("_text").alias("_held"))
+            snapshot.exact.join(broadcast_if_small(wanted), "_digest", "left_semi")
+            .select("_digest", F.col("_text").alias("_held"))
             .join(broadcast_if_small(texts), "_digest")
             .select("_digest", (F.col("_held") == F.col("_text")).alias("same")), "met")
         known = known.union(met.filter("same").select("_digest"))
         collided = collided.union(met.filter("NOT same").select("_digest"))
-    return Taken(counted, stage(known.distinct(), "known"), stage(collided.distinct(), "collided"))
+    return Taken(counted, wanted, texts, stage(known.distinct(), "known"),
+                 stage(collided.distinct(), "collided"))
+
+
+def _new_texts(rows: DataFrame, taken: Taken) -> DataFrame:
+    """The different texts of a batch that no earlier snapshot holds. Digests that are not wanted
+    have one row, which is written as it is."""
+    once = rows.select("_digest", "_text").join(
+        broadcast_if_small(taken.wanted), "_digest", "left_anti")
+    return once.unionByName(taken.texts.join(
+        broadcast_if_small(taken.known), "_digest", "left_anti"))
 
 
 def _first() -> Column:
@@ -206,10 +220,7 @@ def exact_duplicates(docs: DataFrame, settings: ExactSettings = ExactSettings())
             F.count("*").alias("n"), _first()), "counted")
         taken.append(take_in(rows.filter(mine), counted, snapshots, settings))
         if batch < settings.batches - 1:  # the last one meets no later batch
-            new = rows.filter(mine).select("_digest", "_text").distinct()
-            held = taken[-1].known
-            if batch:
-                new = new.join(broadcast_if_small(held), "_digest", "left_anti")
+            new = _new_texts(rows.filter(mine), taken[-1])
             snapshots.append(build_snapshot(new, counted.count(), settings))
     known = stage(reduce(DataFrame.union, [t.known for t in taken]).distinct()
                   .withColumn("_known", F.lit(True)), "known")
