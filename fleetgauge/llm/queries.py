@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.llm import (
     decontaminate,
+    embedding_whitening,
     exact_dedup,
     html_main_text,
     language_id,
@@ -102,6 +103,11 @@ def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_main_text, op2_link_trust, op3_language_id, op4_secret_scan, op5_quality_rules, op6_simhash,
-    op7_decontaminate, op8_suffix_dedup, op9_mix_sources, op10_toxicity, op11_exact_dedup)}
+    op7_decontaminate, op8_suffix_dedup, op9_mix_sources, op10_toxicity, op11_exact_dedup,
+    op12_whitening)}
