@@ -149,6 +149,33 @@ FROM texts
 """
 
 
+HARD_NEGATIVES = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+points AS (
+    SELECT vec_id, label, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM usable),
+scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+           list_inner_product(a.x, r.x)::BIGINT AS score
+    FROM points a JOIN points r ON a.vec_id <> r.vec_id
+    WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INTEGER
+           AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 10
+"""
+
+
 def expected() -> dict[str, str]:
     return {"op2_link_trust": link_trust(), "op7_decontaminate": DECONTAMINATE,
-            "op9_mix_sources": mix_sources(), "op11_exact_dedup": EXACT_DUPLICATES}
+            "op9_mix_sources": mix_sources(), "op11_exact_dedup": EXACT_DUPLICATES,
+            "op13_hard_negatives": HARD_NEGATIVES}

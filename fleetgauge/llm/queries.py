@@ -11,6 +11,7 @@ from fleetgauge.llm import (
     decontaminate,
     embedding_whitening,
     exact_dedup,
+    hard_negatives,
     html_main_text,
     language_id,
     link_trust,
@@ -107,7 +108,13 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_whitening.whiten(table(spark, folder, "embeddings"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").withColumn("label", shifted)
+    return hard_negatives.mine_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_main_text, op2_link_trust, op3_language_id, op4_secret_scan, op5_quality_rules, op6_simhash,
     op7_decontaminate, op8_suffix_dedup, op9_mix_sources, op10_toxicity, op11_exact_dedup,
-    op12_whitening)}
+    op12_whitening, op13_hard_negatives)}
