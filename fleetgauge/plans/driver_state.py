@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.functions import rules
 from fleetgauge.functions.conversion import moment
-from fleetgauge.schemas import DRIVER_RISK_STATE, SUSPENSION_EVENT_HISTORY
+from fleetgauge.schemas import DRIVER_RISK_STATE, SUSPENSION_EVENT_HISTORY, WINDOW_TOTALS
 from fleetgauge.settings import RiskSettings
 
 Moment = datetime | str | Column | None
@@ -152,32 +152,105 @@ def _audit(rows: DataFrame, event: str, previous: Column, new: Column, reason: C
     return rows.select(*[columns[c].alias(c) for c in SUSPENSION_EVENT_HISTORY.names])
 
 
-# Ledger: totals per (window, driver), so that a stream adds only what is new.
+# The stored state: a row per driver with its open windows, so that a stream adds only what is new.
 
-LEDGER_KEYS = ("window_start", "driver_id", "window_end")
 COUNTED = {"total_strike_score": "added_strike_score",
            "overspeed_events": "added_overspeed_events",
            "restricted_zone_events": "added_restricted_zone_events"}
 
 
-def extend_ledger(ledger: DataFrame, batch: DataFrame, batch_id: int,
-                  closed: Column | None = None) -> DataFrame:
-    """Ledger after one micro-batch.
+def credit(held: DataFrame, fresh: DataFrame, source: str, run: int, as_of: Moment = None,
+           closed: Column | None = None, settings: RiskSettings = RiskSettings(),
+           by_window: bool = True, cooldown_by_tier: bool = False, true_previous: bool = False,
+           kept_sources: str = "30 days") -> DataFrame:
+    """Stored state after one run of a source: ``held`` rows and the window totals ``fresh``.
 
-    ``batch`` has the window totals of the new events alone. Rows it touches
-    carry the new total, what was added, and ``batch_id``. Untouched windows that
+    With ``by_window``, ``fresh`` has the totals of new events alone; they are added to the open
+    windows that the driver's row holds, and a window is rated by its total so far. Otherwise
+    the totals are added and rated as they come. A driver that this run, or a later one of the
+    source, has touched before stays as it is, so a run can be repeated. Untouched windows that
     end at or before ``closed`` are let go.
+
+    One join of rows per driver; the windows of a driver are arrays, a few entries long.
     """
-    keys_and_totals = (*LEDGER_KEYS, *COUNTED, "last_event_time")
-    old = ledger.select(*keys_and_totals, "touched_batch",
-                        *[F.lit(0).cast("bigint").alias(added) for added in COUNTED.values()])
-    new = batch.filter(F.col("driver_id").isNotNull()).select(
-        *keys_and_totals, F.lit(batch_id).cast("bigint").alias("touched_batch"),
-        *[F.col(total).alias(added) for total, added in COUNTED.items()])
-    sums = [F.sum(c).alias(c) for pair in COUNTED.items() for c in pair]
-    extended = old.unionByName(new).groupBy(*LEDGER_KEYS).agg(
-        *sums, F.max("last_event_time").alias("last_event_time"),
-        F.max("touched_batch").alias("touched_batch"))
-    if closed is None:
-        return extended
-    return extended.filter((F.col("touched_batch") == batch_id) | (F.col("window_end") > closed))
+    now = moment(as_of)
+    incoming = F.struct(*[(F.col(name) if name in fresh.columns else F.lit(None)).cast(kind).alias(name)
+                          for name, kind in _window_types()[:6]])
+    new = fresh.filter(F.col("driver_id").isNotNull()).groupBy("driver_id").agg(
+        F.collect_list(incoming).alias("_new"))
+    old = held.withColumn("_old", F.lit(True))
+    empty = F.array().cast("array<struct<" + ",".join(f"{n}:{t}" for n, t in _window_types()) + ">>")
+    windows = F.coalesce("windows", empty)
+    seen = F.coalesce(F.col("applied")[source]["run"] >= run, F.lit(False))
+
+    def total(window: Column) -> Column:
+        same = F.get(F.filter(windows, lambda w: (w["window_start"] == window["window_start"]) & (
+            w["window_end"] == window["window_end"])), F.lit(0))
+        sums = {name: (F.coalesce(same[name], F.lit(0)) if by_window else 0) + window[name]
+                for name in COUNTED}
+        return F.struct(
+            window["window_start"].alias("window_start"), window["window_end"].alias("window_end"),
+            *[value.alias(name) for name, value in sums.items()],
+            F.greatest(same["last_event_time"], window["last_event_time"]).alias("last_event_time"),
+            *[window[name].alias(added) for name, added in COUNTED.items()],
+            F.lit(run).cast("bigint").alias("touched_batch"))
+
+    joined = old.join(new, "driver_id", "full").withColumn(
+        "_rated", F.when(seen | F.col("_new").isNull(), empty).otherwise(F.transform("_new", total)))
+    touched = F.size("_rated") > 0
+    score = lambda w: w["total_strike_score"]
+    tier = lambda w, name: rules.by_tier(score(w), name, settings).alias(name)
+    sets = lambda w: F.struct(
+        w["window_start"].alias("window_start"), *[tier(w, name) for name in TIER_COLUMNS],
+        rules.lowered(score(w), settings.decay_allowance).alias("strike_decay_score"),
+        tier(w, "cooldown_days"))
+    last = F.array_max(F.transform("_rated", sets))
+    previous = F.coalesce("suspension_status", F.lit(ACTIVE)) if true_previous else F.lit(ACTIVE)
+    findings = F.transform("_rated", lambda w: finding(
+        "RISK_EVALUATION", previous, rules.by_tier(score(w), "suspension_status", settings), score(w),
+        rules.by_tier(score(w), "suspension_reason", settings)))
+    # windows that go on: those not rated now and still open, and those rated now
+    rated = lambda w: F.exists("_rated", lambda r: (
+        r["window_start"] == w["window_start"]) & (r["window_end"] == w["window_end"]))
+    is_open = (lambda w: F.lit(True)) if closed is None else (lambda w: w["window_end"] > closed)
+    going_on = F.concat(F.filter(windows, lambda w: ~rated(w) & is_open(w)), "_rated")
+
+    days = F.col("_last.cooldown_days") if cooldown_by_tier else F.lit(1)
+    replaced = {name: F.col(f"_last.{name}") for name in (*TIER_COLUMNS, "strike_decay_score")}
+    replaced |= {"cooldown_until": now + F.make_interval(days=days), "updated_ts": now}
+    columns = {name: F.when(touched, value).otherwise(F.col(name)) for name, value in replaced.items()}
+    for added, name in ADDED.items():
+        gained = F.transform("_rated", lambda w: w[added])  # noqa: B023
+        columns[name] = F.coalesce(F.col(name), F.lit(0)) + F.aggregate(
+            gained, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    columns["last_event_ts"] = F.when(F.col("_old").isNull(), now).otherwise(F.col("last_event_ts"))
+    columns["windows"] = going_on if by_window else windows
+    columns["applied"] = F.when(touched, mark(source, run, now, kept_sources)).otherwise(F.col("applied"))
+    columns["findings"] = F.when(touched, findings).otherwise(F.col("findings"))
+    return joined.withColumn("_last", last).select(
+        *[columns.get(c, F.col(c)).alias(c) for c in held.columns])
+
+
+def _window_types() -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in WINDOW_TOTALS]
+
+
+def finding(event: str, previous: Column, new: Column, score: Column, reason: Column) -> Column:
+    return F.struct(
+        F.lit(event).alias("event_type"), previous.alias("previous_status"), new.alias("new_status"),
+        score.alias("strike_score"), reason.alias("event_reason"))
+
+
+def mark(source: str, run: int, now: Column, kept_sources: str) -> Column:
+    """``applied`` with this run, and without sources that have been silent for long."""
+    entry = F.create_map(F.lit(source), F.struct(F.lit(run).cast("bigint").alias("run"), now.alias("at")))
+    others = F.map_filter(F.coalesce("applied", F.create_map().cast(
+        "map<string,struct<run:bigint,at:timestamp>>")), lambda key, value: (key != source) & (
+            value["at"] > now - F.expr(f"INTERVAL {kept_sources}")))
+    return F.map_concat(others, entry)
+
+
+def findings_of(stored: DataFrame, source: str, run: int) -> DataFrame:
+    """Audit rows of the drivers whose last run was this one."""
+    return stored.filter(F.col("applied")[source]["run"] == run).select(
+        "driver_id", F.inline("findings")).select(*SUSPENSION_EVENT_HISTORY.names)

@@ -17,8 +17,8 @@ from fleetgauge.plans.reports import REPORTS, Report
 from fleetgauge.schemas import BIGINT, DOUBLE, INT, STRING, TIMESTAMP, table
 from fleetgauge.settings import PublishSettings
 from fleetgauge.sources.catalog import read_view, write_jdbc
+from fleetgauge.sources.folders import RunFolders, turn
 from fleetgauge.sources.scratch import staged
-from fleetgauge.sources.versioned import VersionedTable
 
 RUN_LOG = table(
     view=STRING, target=STRING, status=STRING, attempts=INT, rows_fetched=BIGINT,
@@ -49,29 +49,30 @@ class ReportSink(Protocol):
 
 
 class ParquetReports:
-    """Targets are versioned tables in one folder."""
+    """Targets are folders of one folder, with a numbered folder for each refresh."""
 
     def __init__(self, spark: SparkSession, path: str, keep_versions: int = 3,
                  settings: PublishSettings = PublishSettings()):
         self.spark, self.path, self.keep_versions = spark, path.rstrip("/"), keep_versions
         self.settings = settings
 
-    def table(self, target: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.path}/{target}")
+    def runs(self, target: str) -> RunFolders:
+        return RunFolders(self.spark, f"{self.path}/{target}")
 
     def refresh(self, target: str, rows: DataFrame, profile: Observation) -> bool:
-        table = self.table(target)
-        base = table.latest()
-        part = table.write(rows, "rows")
-        if profile.get["final_rows"] == 0:
-            table.discard(part)
-            return False
-        table.commit(base, {"rows": part})
-        table.prune(self.keep_versions, self.settings.retained_seconds)
-        return True
+        runs = self.runs(target)
+        with turn(runs.path):
+            # whether there are rows is known when they are written
+            run = runs.write(rows, accept=lambda: profile.get["final_rows"] > 0)
+            runs.keep(self.keep_versions, self.settings.retained_seconds)
+        return run is not None
 
     def read(self, target: str) -> DataFrame:
-        return self.table(target).read("rows")
+        """The target as last refreshed."""
+        run = self.runs(target).latest()
+        if run is None:
+            raise LookupError(f"{target} was never published")
+        return self.spark.read.parquet(self.runs(target).at(run))
 
 
 class JdbcReports:

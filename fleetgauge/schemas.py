@@ -7,11 +7,13 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     DataType,
     DateType,
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructType,
     TimestampType,
@@ -51,13 +53,26 @@ SUSPENSION_EVENT_HISTORY = table(
     strike_score=BIGINT, event_reason=STRING,
 )
 
-# Running totals per window and driver, with what the last micro-batch added.
-WINDOW_LEDGER = table(
-    window_start=TIMESTAMP, driver_id=STRING, window_end=TIMESTAMP, total_strike_score=BIGINT,
+# Totals of an open window of a driver, with what the last micro-batch added.
+WINDOW_TOTALS = table(
+    window_start=TIMESTAMP, window_end=TIMESTAMP, total_strike_score=BIGINT,
     overspeed_events=BIGINT, restricted_zone_events=BIGINT, last_event_time=TIMESTAMP,
     added_strike_score=BIGINT, added_overspeed_events=BIGINT,
     added_restricted_zone_events=BIGINT, touched_batch=BIGINT,
 )
+# What a run said of a driver, as far as the audit log needs it.
+FINDING = table(
+    event_type=STRING, previous_status=STRING, new_status=STRING, strike_score=BIGINT,
+    event_reason=STRING,
+)
+# The state of a driver as it is stored: with open windows, the last run of each source that
+# touched it, and what the last of all said.
+STORED_STATE = table(
+    **{f.name: f.dataType for f in DRIVER_RISK_STATE},
+    windows=ArrayType(WINDOW_TOTALS),
+    applied=MapType(STRING, table(run=BIGINT, at=TIMESTAMP)),
+    findings=ArrayType(FINDING),
+)
 
 # The columns each raw table must have, and those the versioned
 # assignment table must have before it is written.

@@ -75,9 +75,13 @@ class StreamSettings:
     max_offsets_per_trigger: int | None = None
     # a dimension with at most this many rows is broadcast to the stream
     broadcast_rows: int = 1_000_000
-    # committed versions of the driver state that stay readable, and for how long at least
+    # Parquet buckets that drivers are hashed into; fixed when a state is first written
+    state_buckets: int = 16
+    # older files of a bucket that stay for readers, and for how long at least
     retained_versions: int = 10
     retained_seconds: float = 3600.0
+    # a source that touched a driver so long ago is not read again
+    retained_sources: str = "30 days"
 
 
 @dataclass(frozen=True)

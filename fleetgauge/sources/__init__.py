@@ -1 +1 @@
-"""Readers, writers and the versioned table."""
+"""Readers, writers and folders of Parquet."""

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from urllib.parse import quote
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +28,8 @@ from fleetgauge.plans.telemetry import (
 )
 from fleetgauge.settings import RiskSettings, StreamSettings
 from fleetgauge.sources.files import overwrite_partitions
+from fleetgauge.sources.folders import found
+from fleetgauge.sources.scratch import delete, staged
 
 Dimension = Callable[[], DataFrame]
 Clock = Callable[[], datetime]
@@ -72,10 +74,16 @@ def start_driver_safety_current(messages: DataFrame, assignments: Dimension, pat
     """Like :func:`start_driver_safety`, with the assignments read anew in every batch.
 
     Rows are partitioned by stream_id and batch_id as well, and a repeated batch
-    replaces its own partitions. ``stream_id`` is that of the checkpoint if not given.
+    replaces its own partitions, by the assignments it had the first time.
+    ``stream_id`` is that of the checkpoint if not given.
     """
 
-    write = _event_writer(assignments, path, settings, stream, stream_id)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        name = _identity(batch, stream_id)
+        with staged(batch, "batch") as rows:
+            held = pinned(rows, batch_id, assignments, path, name, stream)
+            _write_events(rows, batch_id, held, path, settings, name)
+
     return (
         clean_stream(messages, stream).writeStream.foreachBatch(write).outputMode("append")
         .option("checkpointLocation", checkpoint)
@@ -92,16 +100,32 @@ def _identity(batch: DataFrame, given: str | None) -> str:
     return given or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def _event_writer(assignments: Dimension, path: str, settings: RiskSettings,
-                  stream: StreamSettings, stream_id: str | None) -> BatchFunction:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        dimension = sized_join_side(assignments(), stream.broadcast_rows)
-        events = driver_safety_status(batch, dimension, settings)
-        named = events.withColumns({"stream_id": F.lit(_identity(batch, stream_id)),
-                                    "batch_id": F.lit(batch_id).cast("bigint")})
-        overwrite_partitions(named, path, ["date", "hour", "stream_id", "batch_id"])
+def pinned(batch: DataFrame, batch_id: int, assignments: Dimension, folder: str,
+           stream_id: str, stream: StreamSettings = StreamSettings(), keep: int = 1000) -> DataFrame:
+    """The assignments of the vehicles of a batch, as they were when it was first run, measured.
 
-    return write
+    They are written before anything else of the batch, in a folder that readers of the
+    tables around it pass over, so a batch that is repeated gives the same rows whatever has
+    been reassigned. Those of the last ``keep`` batches of a stream stay.
+    """
+    spark = batch.sparkSession
+    root = f"{folder}/_assignments/of-{quote(stream_id, safe='')}"
+    place = f"{root}/{batch_id}"
+    if not found(spark, f"{place}/_SUCCESS"):
+        vehicles = batch.select("vin").distinct()
+        assignments().join(vehicles, "vin", "left_semi").write.mode("overwrite").parquet(place)
+        marks = sorted(int(p.rsplit("/", 2)[1]) for p, _ in found(spark, f"{root}/*/_SUCCESS"))
+        for old in marks[:-keep]:
+            delete(spark, f"{root}/{old}")
+    return sized_join_side(spark.read.parquet(place), stream.broadcast_rows)
+
+
+def _write_events(batch: DataFrame, batch_id: int, held: DataFrame, path: str,
+                  settings: RiskSettings, stream_id: str) -> None:
+    events = driver_safety_status(batch, held, settings)
+    named = events.withColumns({"stream_id": F.lit(stream_id),
+                                "batch_id": F.lit(batch_id).cast("bigint")})
+    overwrite_partitions(named, path, ["date", "hour", "stream_id", "batch_id"])
 
 
 def _once(store: DriverStateStore, apply: BatchFunction, stream_id: str | None) -> BatchFunction:
@@ -153,24 +177,24 @@ def start_driver_state(messages: DataFrame, assignments: Dimension, store: Drive
     checkpoint if not given: a new checkpoint is a new stream, whose events all count.
     To read old events again without counting them twice, give the id of before.
     """
-    credit = _state_writer(assignments, store, clock, stream_id, options)
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        name = _identity(batch, stream_id)
+        with staged(batch, "batch") as rows:
+            held = pinned(rows, batch_id, assignments, store.path, name, store.stream)
+            _credit(rows, batch_id, held, store, clock, name, options)
+
     return (
-        clean_stream(messages, store.stream).writeStream.foreachBatch(_once(store, credit, stream_id))
+        clean_stream(messages, store.stream).writeStream.foreachBatch(_once(store, apply, stream_id))
         .outputMode("append").option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": store.stream.aggregate_trigger}))
         .queryName("driver_state_stream").start()
     )
 
 
-def _state_writer(assignments: Dimension, store: DriverStateStore, clock: Clock | None,
-                  stream_id: str | None, options: dict) -> BatchFunction:
-    def credit(batch: DataFrame, batch_id: int) -> None:
-        dimension = sized_join_side(assignments(), store.stream.broadcast_rows)
-        scored = score_events(enrich(batch, dimension), store.settings)
-        store.apply_events(scored, batch_id, clock() if clock else None,
-                           _identity(batch, stream_id), **options)
-
-    return credit
+def _credit(batch: DataFrame, batch_id: int, held: DataFrame, store: DriverStateStore,
+            clock: Clock | None, stream_id: str, options: dict) -> None:
+    scored = score_events(enrich(batch, held), store.settings)
+    store.apply_events(scored, batch_id, clock() if clock else None, stream_id, **options)
 
 
 def start_events_and_state(messages: DataFrame, assignments: Dimension, path: str,
@@ -180,19 +204,16 @@ def start_events_and_state(messages: DataFrame, assignments: Dimension, path: st
     """Event table and driver state from one query.
 
     The source is read and de-duplicated once for both, where two queries would
-    each do it with a state of their own.
+    each do it with a state of their own. A batch is staged in the shared folder, and
+    both use the assignments it was first run with.
     """
-    write = _event_writer(assignments, path, store.settings, store.stream, stream_id)
-    credit = _state_writer(assignments, store, clock, stream_id, options)
 
     def both(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write(batch, batch_id)
-            if not store.has_applied(batch_id, _identity(batch, stream_id)):
-                credit(batch, batch_id)
-        finally:
-            batch.unpersist()
+        name = _identity(batch, stream_id)
+        with staged(batch, "batch") as rows:
+            held = pinned(rows, batch_id, assignments, path, name, store.stream)
+            _write_events(rows, batch_id, held, path, store.settings, name)
+            _credit(rows, batch_id, held, store, clock, name, options)
 
     return (
         clean_stream(messages, store.stream).writeStream.foreachBatch(both).outputMode("append")
@@ -231,6 +252,13 @@ def late_events_dropped(query: StreamingQuery) -> int:
                for progress in query.recentProgress for operator in progress["stateOperators"])
 
 
+def late_events_by_batch(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """``batch_id, dropped`` of the recent batches of ``query``."""
+    rows = [(p["batchId"], sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"]))
+            for p in query.recentProgress]
+    return spark.createDataFrame(rows, "batch_id BIGINT, dropped BIGINT")
+
+
 def await_any(spark: SparkSession) -> None:
     """Block until one of the queries ends."""
     spark.streams.awaitAnyTermination()

@@ -6,7 +6,7 @@ their NULL order because the two engines differ in the default.
 
 from __future__ import annotations
 
-from samples.tables import FIRST_SNAPSHOT_END, ZONES
+from samples.tables import ARRIVALS, FIRST_SNAPSHOT_END, ZONES
 
 FIRST_MERGE = "2024-01-01 06:00:00"
 SECOND_MERGE = "2024-01-02 06:00:00"
@@ -146,6 +146,66 @@ decayed AS (
                     TIMESTAMP '{UPKEEP}' AS updated_ts)
   FROM state)"""
 
+# Micro-batches: the watermark of a batch lags by one, so what is late is judged by the newest
+# event of all batches but the last before.
+ARRIVED = f"""{TELEMETRY},{assignments('dim')},
+arrivals AS (
+  SELECT * EXCLUDE (event_id),
+    least({ARRIVALS - 1}, CAST(floor(event_id * {ARRIVALS} / ((SELECT max(event_id) FROM events) + 1)) AS BIGINT)
+      + copy - 1 + CASE WHEN event_id % 29 = 0 THEN 4 WHEN event_id % 17 = 0 THEN 1 ELSE 0 END) AS batch_id
+  FROM (SELECT *, 1 AS copy FROM base UNION ALL SELECT *, 2 AS copy FROM base WHERE event_id % 20 = 0)
+  WHERE speed IS NOT NULL),
+newest AS (
+  SELECT b.batch_id, (SELECT max(event_timestamp) FROM arrivals a WHERE a.batch_id <= b.batch_id - 2) AS newest
+  FROM (SELECT DISTINCT batch_id FROM arrivals) b),
+judged AS (
+  SELECT *, coalesce(event_timestamp <= newest - 600, FALSE) AS late
+  FROM arrivals JOIN newest USING (batch_id)),
+taken AS (
+  SELECT t.vin, event_timestamp, min(batch_id) AS batch_id, any_value(driver_id) AS driver_id,
+    any_value(CASE WHEN speed > 110 THEN 1 ELSE 0 END) AS over,
+    any_value(CASE WHEN lat >= 12.5e0 AND lat <= 12.8e0 AND lon >= 77.2e0 AND lon <= 77.5e0
+                   THEN 1 ELSE 0 END) AS zone
+  FROM judged t LEFT JOIN dim ON t.vin = dim.vin WHERE NOT late GROUP BY t.vin, event_timestamp),
+added AS (
+  SELECT batch_id, driver_id, event_timestamp - event_timestamp % 1800 AS start,
+    sum(over + 2 * zone) AS score, sum(over) AS over, sum(zone) AS zone
+  FROM taken WHERE driver_id IS NOT NULL GROUP BY ALL),
+rated AS (
+  SELECT *, sum(score) OVER so_far AS total, sum(over) OVER so_far AS total_over,
+    sum(zone) OVER so_far AS total_zone
+  FROM added WINDOW so_far AS (PARTITION BY driver_id, start ORDER BY batch_id)),
+tiers AS (
+  SELECT * FROM (VALUES
+    (3, 'CRITICAL_RISK', 'SUSPENDED_7D', 'Critical repeat offender', 0, 3, 0),
+    (2, 'HIGH_RISK', 'SUSPENDED_24H', 'High strike threshold exceeded', 0, 1, 0),
+    (1, 'MEDIUM_RISK', 'WARNING', 'Moderate risk behavior', 1, 0, 0),
+    (0, 'LOW_RISK', 'ACTIVE', NULL, 0, 0, 1))
+  t(tier, risk_category, suspension_status, suspension_reason, warning_count, suspension_count,
+    reinstatement_eligible)),
+tiered AS (
+  SELECT *, CASE WHEN total >= 25 THEN 3 WHEN total >= 15 THEN 2 WHEN total >= 8 THEN 1 ELSE 0 END AS tier
+  FROM rated)"""
+
+
+def batches_state(score: str, over: str, zone: str) -> str:
+    """The state after all batches; the latest window of a driver's last batch sets the tier."""
+    return f"""WITH {ARRIVED},
+    per_driver AS (
+      SELECT driver_id, CAST(sum({score}) AS BIGINT) AS total_strike_score,
+        arg_max(tier, batch_id * 10000000000 + start) AS tier,
+        arg_max(greatest(total - 2, 0), batch_id * 10000000000 + start) AS decay,
+        CAST(sum({over}) AS BIGINT) AS total_overspeed_events,
+        CAST(sum({zone}) AS BIGINT) AS total_restricted_zone_events
+      FROM tiered GROUP BY driver_id)
+    SELECT driver_id, total_strike_score, risk_category, suspension_status, suspension_reason,
+      TIMESTAMP '{FIRST_BATCH}' + INTERVAL 1 DAY AS cooldown_until, warning_count, suspension_count,
+      reinstatement_eligible, CAST(decay AS BIGINT) AS strike_decay_score, total_overspeed_events,
+      total_restricted_zone_events, TIMESTAMP '{FIRST_BATCH}' AS last_event_ts,
+      TIMESTAMP '{FIRST_BATCH}' AS updated_ts
+    FROM per_driver JOIN tiers USING (tier)"""
+
+
 HISTORY_COLUMNS = ("vin, driver_id, start_date, end_date, daily_rate, region, status, "
                    "record_start_ts, record_end_ts, is_current, change_type, created_ts")
 
@@ -359,6 +419,19 @@ def expected() -> dict[str, str]:
         "stream_driver_safety_status": f"WITH {SAFETY} {SAFETY_ROWS}",
         "stream_risk_aggregates": f"WITH {CLOSED} SELECT * FROM closed",
         "stream_driver_state": f"WITH {STREAM_STATE} SELECT * FROM state",
+        "stream_late_events": f"""WITH {ARRIVED}
+            SELECT driver_id, vin, event_timestamp, CAST(over + 2 * zone AS INTEGER) AS strike_score,
+              CAST(batch_id AS BIGINT) AS batch_id FROM taken""",
+        "stream_late_dropped": f"""WITH {ARRIVED}
+            SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS dropped FROM judged WHERE late
+            GROUP BY batch_id""",
+        "stream_state_of_batches": batches_state("score", "over", "zone"),
+        "stream_state_as_emitted": batches_state("total", "total_over", "total_zone"),
+        "stream_audit_of_batches": f"""WITH {ARRIVED}
+            SELECT driver_id, 'RISK_EVALUATION' AS event_type, 'ACTIVE' AS previous_status,
+              suspension_status AS new_status, CAST(total AS BIGINT) AS strike_score,
+              suspension_reason AS event_reason
+            FROM tiered JOIN tiers USING (tier)""",
         "previous_reading_hot_vin": f"""WITH {SILVER}
             SELECT vin, transaction_id, lag(odometer_reading) OVER (PARTITION BY vin
               ORDER BY event_time NULLS FIRST, transaction_id) AS previous_reading

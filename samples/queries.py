@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge.operators.geo import flag_zones, match_zones
 from fleetgauge.operators.quality import quality_profile
@@ -22,6 +23,7 @@ from fleetgauge.plans.stores import DriverStateStore
 from fleetgauge.schemas import ASSET_HISTORY, DRIVER_RISK_STATE, RAW_COLUMNS, empty_table
 from fleetgauge.sources.files import read_raw
 from fleetgauge.sources.scratch import new_scratch_path, staged
+from fleetgauge.sources.streams import json_lines_source
 from fleetgauge.streaming import queries as streams
 from samples import oracle
 from samples.tables import FIRST_SNAPSHOT_END, FleetSample
@@ -237,6 +239,72 @@ def stream_driver_state(spark: SparkSession, folder: str) -> DataFrame:
     return store.read_state()
 
 
+# --- streams of several micro-batches, with late and repeated events
+
+
+def _arrivals(sample: FleetSample) -> DataFrame:
+    """A file a batch, in the order of arrival."""
+    path = sample.write_arrivals(new_scratch_path(sample.spark, "arrivals"))
+    return json_lines_source(sample.spark, path, max_files_per_trigger=1)
+
+
+def _late_stream(spark: SparkSession, folder: str) -> tuple[StreamingQuery, str]:
+    sample, path = FleetSample(spark, folder), new_scratch_path(spark, "late-events")
+    query = streams.start_driver_safety_current(
+        _arrivals(sample), sample.dimension, path, new_scratch_path(spark, "stream-checkpoint"),
+        trigger=ALL_NOW)
+    query.awaitTermination()
+    return query, path
+
+
+@query
+def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that come before the watermark has passed them, each once, with their batch."""
+    _, path = _late_stream(spark, folder)
+    return spark.read.parquet(path).select("driver_id", "vin", "event_timestamp", "strike_score",
+                                           F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+@query
+def stream_late_dropped(spark: SparkSession, folder: str) -> DataFrame:
+    """How many events of each batch came too late."""
+    late, _ = _late_stream(spark, folder)
+    return streams.late_events_by_batch(spark, late).filter("dropped > 0")
+
+
+@query
+def stream_state_of_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored state when windows fill over several batches."""
+    sample = FleetSample(spark, folder)
+    store = DriverStateStore(spark, new_scratch_path(spark, "stream-state"))
+    streams.start_driver_state(
+        _arrivals(sample), sample.dimension, store, new_scratch_path(spark, "stream-checkpoint"),
+        trigger=ALL_NOW, clock=lambda: oracle.FIRST_BATCH).awaitTermination()
+    return store.read_state()
+
+
+@query
+def stream_audit_of_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """What each batch found: a row per window it touched, rated by its total so far."""
+    sample = FleetSample(spark, folder)
+    store = DriverStateStore(spark, new_scratch_path(spark, "stream-state"))
+    streams.start_driver_state(
+        _arrivals(sample), sample.dimension, store, new_scratch_path(spark, "stream-checkpoint"),
+        trigger=ALL_NOW, clock=lambda: oracle.FIRST_BATCH).awaitTermination()
+    return store.read_audit()
+
+
+@query
+def stream_state_as_emitted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in update mode: a window counts as a whole each time it grows."""
+    sample = FleetSample(spark, folder)
+    store = DriverStateStore(spark, new_scratch_path(spark, "stream-state"))
+    streams.start_driver_state_as_emitted(
+        _arrivals(sample), sample.dimension(), store, new_scratch_path(spark, "stream-checkpoint"),
+        trigger=ALL_NOW, clock=lambda: oracle.FIRST_BATCH).awaitTermination()
+    return store.read_state()
+
+
 # --- quality and reports
 
 

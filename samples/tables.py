@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.operators.dedup import keep_first
 
+ARRIVALS = 8
 FIRST_SNAPSHOT_END = "2001-01-01 00:00:00"
 # The columns in use. A stated schema spares the job that reads it from a file footer.
 TABLES = {
@@ -39,9 +40,9 @@ class FleetSample:
             return self.spark.readStream.schema(TABLES[name]).parquet(path[:-1] + "?")
         return self.spark.read.schema(TABLES[name]).parquet(path)
 
-    def events(self, stream: bool = False) -> DataFrame:
-        """Parsed telemetry; every 20th event arrives twice, every 33rd has no speed."""
+    def _sent(self, stream: bool = False) -> DataFrame:
         return self._table("events", stream).selectExpr(
+            "event_id",
             "concat('VIN', CAST(1000 + user_id AS STRING)) AS vin",
             "CASE WHEN event_id % 33 = 0 THEN NULL ELSE CAST(60 + (event_id * 37) % 81 AS INT) END AS speed",
             "CAST(1000 + (event_id * 53) % 4001 AS INT) AS rpm",
@@ -49,7 +50,28 @@ class FleetSample:
             "77.0e0 + CAST((event_id * 104729) % 10000 AS DOUBLE) / 1e4 AS lon",
             "1704067200 + event_id * 3 AS event_timestamp",
             "explode(CASE WHEN event_id % 20 = 0 THEN array(1, 2) ELSE array(1) END) AS copy",
-        ).drop("copy")
+        )
+
+    def events(self, stream: bool = False) -> DataFrame:
+        """Parsed telemetry; every 20th event arrives twice, every 33rd has no speed."""
+        return self._sent(stream).drop("event_id", "copy")
+
+    def write_arrivals(self, path: str) -> str:
+        """The telemetry as JSON lines in ``ARRIVALS`` folders, written in the order of arrival.
+
+        The second copy of an event comes one folder later, every 17th event one and every 29th
+        four folders after its time. A stream that takes one file at a time reads them in order.
+        """
+        sent = self._sent()
+        columns = [c for c in sent.columns if c not in ("event_id", "copy")]
+        last = sent.agg(F.max("event_id")).first()[0] or 0
+        arrival = F.expr(
+            f"least({ARRIVALS - 1}, CAST(floor(event_id * {ARRIVALS} / {last + 1}) AS INT) + copy - 1 "
+            "+ CASE WHEN event_id % 29 = 0 THEN 4 WHEN event_id % 17 = 0 THEN 1 ELSE 0 END)")
+        lines = sent.select(F.to_json(F.struct(*columns)).alias("value"), arrival.alias("arrival"))
+        for n in range(ARRIVALS):
+            lines.filter(F.col("arrival") == n).select("value").coalesce(1).write.text(f"{path}/{n}")
+        return f"{path}/*"
 
     def messages(self, stream: bool = False) -> DataFrame:
         """The same telemetry as JSON messages."""

@@ -129,7 +129,7 @@ def test_history_invariants_over_many_merges(spark, folder, frame):
         archived = {str(r) for r in stored if r[9] == 0}
         assert archived >= seen
         seen = archived
-    assert store.table.latest().number == 3
+    assert store.merges.latest() == 3
     assert values(assets.current_assignments(store.read()), "vin") == values(store.read_current(), "vin")
 
 

@@ -1,4 +1,8 @@
-from datetime import datetime
+import glob
+import os
+import random
+import shutil
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import values
@@ -7,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetgauge.plans import driver_state as ds
 from fleetgauge.plans.stores import DriverStateStore
 from fleetgauge.schemas import DRIVER_RISK_STATE
+from fleetgauge.settings import StreamSettings
 
 WINDOW = ("window_start TIMESTAMP, driver_id STRING, total_strike_score BIGINT, "
           "overspeed_events BIGINT, restricted_zone_events BIGINT")
@@ -189,3 +194,96 @@ def test_reinstatement_audit_of_changes_only(spark, folder, frame):
     store.reinstate(T2, only_changed=True)
     got = store.read_audit().filter("event_type = 'AUTO_REINSTATEMENT'")
     assert values(got, "driver_id", "previous_status") == [("D1", "SUSPENDED_24H")]
+
+
+def written(store):
+    """Folders of the state: bucket and version of each."""
+    return sorted((b, v) for b, versions in store._versions().items() for v, *_ in versions)
+
+
+def test_only_touched_buckets_are_written(spark, folder, frame):
+    """What a batch writes is in proportion to its drivers, not to all there are."""
+    store = DriverStateStore(spark, folder, stream=StreamSettings(state_buckets=32))
+    everyone = [(at("2024-01-01"), f"D{n}", 120, 1, 1, 3) for n in range(500)]
+    store.apply_events(frame(SCORED, everyone), 0, T1)
+    first = written(store)
+    assert len(first) == 32
+    store.apply_events(events(frame, "D7", ["2024-01-01 00:01:00"]), 1, T2)
+    added = set(written(store)) - set(first)
+    assert len(added) == 1 and {v for _, v in added} == {2}
+    size = lambda b, v: sum(
+        os.path.getsize(p) for p in glob.glob(f"{folder}/state/of=32/bucket={b}/version={v}/*.parquet"))
+    assert sum(size(*p) for p in added) < 0.1 * sum(size(*p) for p in first)
+    state = {r.driver_id: r.total_strike_score for r in store.read_state().collect()}
+    assert state == {f"D{n}": 6 if n == 7 else 3 for n in range(500)}
+
+
+def test_batch_that_died_half_way_is_completed(spark, folder, frame, monkeypatch):
+    """Some buckets have the batch, others and the audit do not: each driver gets it once."""
+    rows = [(at("2024-01-01"), f"D{n}", 120, 1, 1, 3) for n in range(50)]
+    whole, broken = DriverStateStore(spark, f"{folder}/a"), DriverStateStore(spark, f"{folder}/b")
+    for store in (whole, broken):
+        store.apply_events(frame(SCORED, rows), 0, T1)
+    whole.apply_events(frame(SCORED, rows), 1, T2)
+    monkeypatch.setattr(DriverStateStore, "_write_audit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        broken.apply_events(frame(SCORED, rows), 1, T2)
+    monkeypatch.undo()
+    for path, _ in [versions[-1][1:] for b, versions in broken._versions().items() if b % 2]:
+        shutil.rmtree(path.removeprefix("file:"))  # these buckets were not reached
+    assert len(set(values(broken.read_state(), "total_strike_score"))) == 2
+    broken.apply_events(frame(SCORED, rows), 1, T2)
+    assert values(broken.read_state()) == values(whole.read_state())
+    assert values(broken.read_audit()) == values(whole.read_audit())
+
+
+def test_repeated_upkeep_run_counts_once(spark, folder, frame):
+    store = DriverStateStore(spark, folder)
+    store.apply_events(events(frame, "D1", [f"2024-01-01 00:00:{s:02d}" for s in range(6)]), 0, T1)
+    for run in (20240202, 20240202, 20240203):
+        store.decay(T2, run=run)
+    assert values(store.read_state(), "total_strike_score") == [(16,)]
+    assert values(store.read_audit().filter("event_type = 'STRIKE_DECAY'"), "strike_score") == [(16,), (17,)]
+    store.reinstate(T2, only_changed=True, run=1)
+    files = written(store)
+    store.reinstate(T3, only_changed=True, run=2)  # nobody is waiting: nothing is written
+    assert written(store) == files
+
+
+def test_state_equals_merge_of_all_batches(spark, folder, frame):
+    """Random batches through the store, and window by window by the plain functions."""
+    rng = random.Random(4)
+    store, totals, state = DriverStateStore(spark, folder), {}, frame(DRIVER_RISK_STATE, [])
+    for batch in range(6):
+        rows = [(at("2024-01-01") + timedelta(minutes=20 * batch + rng.randrange(60)), f"D{rng.randrange(6)}",
+                 120, rng.randrange(2), 0, rng.randrange(9)) for _ in range(25)]
+        store.apply_events(frame(SCORED, rows), batch, T1, cooldown_by_tier=True)
+        touched = {}
+        for when, driver, _, over, zone, score in rows:
+            start = when - timedelta(minutes=when.minute % 30)
+            old = totals.get((start, driver), (0, 0, 0))
+            totals[start, driver] = tuple(a + b for a, b in zip(old, (score, over, zone)))
+            new = touched.get((start, driver), (0, 0, 0))
+            touched[start, driver] = tuple(a + b for a, b in zip(new, (score, over, zone)))
+        windows = [(*key, *totals[key], *added) for key, added in touched.items()]
+        evaluated = ds.evaluate_windows(frame(
+            WINDOW + ", added_strike_score BIGINT, added_overspeed_events BIGINT, "
+            "added_restricted_zone_events BIGINT", windows))
+        state = spark.createDataFrame(
+            ds.merge_state(state, evaluated, T1, cooldown_by_tier=True).collect(), DRIVER_RISK_STATE)
+    assert values(store.read_state()) == values(state)
+
+
+def test_silent_sources_are_forgotten(spark, folder, frame):
+    store = DriverStateStore(spark, folder)
+    store.apply_events(events(frame, "D1", ["2024-01-01 00:00:00"]), 0, "2024-01-01 00:00:00", "old")
+    store.apply_events(events(frame, "D1", ["2024-03-01 00:00:00"]), 0, "2024-03-01 00:00:00", "new")
+    assert store.read_stored().selectExpr("map_keys(applied) AS k").first().k == ["new"]
+
+
+def test_batches_without_drivers(spark, folder, frame):
+    store = DriverStateStore(spark, folder)
+    assert store.read_state().count() == store.read_audit().count() == store.read_ledger().count() == 0
+    store.apply_events(frame(SCORED, []), 0, T1)
+    store.apply_events(frame(SCORED, [(at("2024-01-01"), None, 1, 1, 1, 3)]), 1, T1)
+    assert store.read_state().count() == 0 and store.has_applied(1)

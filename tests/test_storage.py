@@ -9,107 +9,50 @@ from fleetgauge.operators.quality import quality_profile
 from fleetgauge.settings import PublishSettings
 from fleetgauge.sources.catalog import register_table
 from fleetgauge.sources.files import overwrite, overwrite_partitions
+from fleetgauge.sources.folders import RunFolders
 from fleetgauge.sources.scratch import scratch_folder, staged
-from fleetgauge.sources.versioned import CommitConflict, Version, VersionedTable
 
 QUICK = PublishSettings(pause_seconds=0.0)
 
 
-def test_version_may_be_built_from_the_one_it_replaces(spark, folder):
-    table = VersionedTable(spark, folder)
-    table.replace("rows", spark.range(3))
-    old = table.read("rows")
-    table.replace("rows", table.read("rows").selectExpr("id + 10 AS id"))
-    assert values(table.read("rows")) == [(10,), (11,), (12,)]
-    assert values(old) == [(0,), (1,), (2,)]
+def test_run_may_be_built_from_the_one_it_replaces(spark, folder):
+    runs = RunFolders(spark, folder)
+    assert runs.latest() is None
+    old = spark.read.parquet(runs.at(runs.write(spark.range(3))))
+    new = runs.write(old.selectExpr("id + 10 AS id"))
+    assert values(spark.read.parquet(runs.at(new))) == [(10,), (11,), (12,)]
+    assert (new, values(old)) == (2, [(0,), (1,), (2,)])
 
 
-def test_missing_part(spark, folder):
-    table = VersionedTable(spark, folder)
-    assert table.latest().number == 0
-    assert table.read("rows", spark.range(1).schema).count() == 0
-    with pytest.raises(LookupError):
-        table.read("rows")
-
-
-def test_second_writer_gets_a_conflict(spark, folder):
-    table = VersionedTable(spark, folder)
-    base = table.latest()
-    mine, theirs = table.write(spark.range(1), "rows"), table.write(spark.range(2), "rows")
-    table.commit(base, {"rows": theirs})
-    with pytest.raises(CommitConflict):
-        table.commit(base, {"rows": mine})
-    assert table.read("rows").count() == 2
+def test_failed_or_refused_write_leaves_no_run(spark, folder):
+    runs = RunFolders(spark, folder)
+    runs.write(spark.range(3))
+    with pytest.raises(Exception):
+        runs.write(spark.range(3).selectExpr("raise_error('no') AS id"))
+    assert runs.write(spark.range(3), accept=lambda: False) is None
+    assert [n for n in os.listdir(folder) if not n.startswith(".")] == ["run=1"]
 
 
-def test_failed_write_leaves_the_table(spark, folder):
-    table = VersionedTable(spark, folder)
-    table.replace("rows", spark.range(3))
-    with pytest.raises(Exception):
-        table.replace("rows", spark.range(3).selectExpr("raise_error('no') AS id"))
-    assert (table.latest().number, table.read("rows").count()) == (1, 3)
+def test_unfinished_run_is_not_read(spark, folder):
+    runs = RunFolders(spark, folder)
+    runs.write(spark.range(3))
+    os.makedirs(f"{folder}/run=2")
+    assert runs.latest() == 1
 
 
-def test_logs_append_and_survive_pruning(spark, folder):
-    table = VersionedTable(spark, folder)
+def test_runs_stay_as_long_as_readers_may_need_them(spark, folder):
+    runs = RunFolders(spark, folder)
     for n in range(5):
-        base = table.latest()
-        table.commit(base, {"rows": table.write(spark.range(n), "rows")},
-                     {"audit": table.write(spark.range(n, n + 1), "audit")})
-        table.prune(2)
-    assert values(table.read_log("audit", spark.range(1).schema)) == [(n,) for n in range(5)]
-    assert table.read("rows").count() == 4
-    kept = [f for _, _, files in os.walk(f"{folder}/commits") for f in files if f.endswith(".json")]
-    assert len(kept) == 2
-    assert {place.split("/")[1] for v in (4, 5) for place in table._places(v)} <= set(os.listdir(f"{folder}/data"))
-    assert table.read("rows", version=table._load(4)).count() == 3
-
-
-def test_versions_stay_as_long_as_readers_may_need_them(spark, folder):
-    table = VersionedTable(spark, folder)
-    for n in range(4):
-        table.replace("rows", spark.range(n))
-        table.prune(1, seconds=3600)
-    assert table.read("rows", version=table._load(2)).count() == 1
-    for number in (1, 2):  # replaced two hours ago, and one more that its successor replaced then
-        path = table._at(f"commits/{number + 1:020d}.json")
-        table._fs.setTimes(path, table._modified(4) - 7_200_000, -1)
-    table.prune(1, seconds=3600)
-    assert table._numbers() == [3, 4]
-    assert table.read("rows", version=table._load(3)).count() == 2
-
-
-def test_data_of_a_lost_conflict_is_discarded(spark, folder):
-    table = VersionedTable(spark, folder)
-    base = table.replace("kept", spark.range(1))
-    mine, log = table.write(spark.range(5), "rows"), table.write(spark.range(1), "audit")
-    table.replace("rows", spark.range(2))
-    with pytest.raises(CommitConflict):
-        table.commit(base, {**base.parts, "rows": mine}, {"audit": log})
-    assert not table.exists(mine) and not table.exists(log)
-    assert table.read("kept").count() == 1
-
-
-def test_log_rows_are_visible_before_they_are_moved(spark, folder, monkeypatch):
-    schema = spark.range(1).schema
-    table = VersionedTable(spark, folder)
-    monkeypatch.setattr(VersionedTable, "_move_appended", lambda *_: None)  # the writer dies here
-    first = table.commit(table.latest(), {}, {"audit": table.write(spark.range(1), "audit")})
-    assert table.read_log("audit", schema).count() == 1
-    monkeypatch.undo()
-    table.commit(first, {}, {"audit": table.write(spark.range(1, 2), "audit")})
-    assert values(table.read_log("audit", schema)) == [(0,), (1,)]
-
-
-def test_log_of_a_version_leaves_out_later_rows(spark, folder):
-    table = VersionedTable(spark, folder)
-    schema = spark.range(1).schema
-    versions, base = [], Version(0)
-    for n in range(3):
-        base = table.commit(base, {}, {"log": table.write(spark.range(n, n + 1), "log")})
-        versions.append(base)
-    for n, version in enumerate(versions):
-        assert values(table.read_log("log", schema, version)) == [(i,) for i in range(n + 1)]
+        runs.write(spark.range(n))
+    runs.keep(1, seconds=3600)
+    assert list(runs.finished()) == [1, 2, 3, 4, 5]
+    for run in (2, 3):  # replaced two hours ago
+        mark = f"{runs.at(run)}/_SUCCESS"
+        os.utime(mark, (os.stat(mark).st_mtime - 7200,) * 2)
+    runs.keep(1, seconds=3600)
+    assert list(runs.finished()) == [3, 4, 5]
+    runs.keep(2)
+    assert list(runs.finished()) == [4, 5]
 
 
 def test_partition_overwrite_can_be_repeated(spark, folder):

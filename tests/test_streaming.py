@@ -93,6 +93,32 @@ def test_current_assignments_are_read_in_every_batch(spark, source, frame, folde
         (T0, "D1", 0), (T0 + 10, "D2", 1)]
 
 
+def test_repeated_batches_keep_their_assignments(spark, source, frame, folder):
+    """Vehicles are reassigned between the runs; events and state of a batch stay what they were."""
+    source.send(message("V1", 0), message("V2", 1))
+    source.send(message("V1", 10))
+    store = DriverStateStore(spark, f"{folder}/state")
+    seen = []
+    for checkpoint, driver in (("cp1", "D1"), ("cp2", "D2")):
+        vehicles = lambda driver=driver: frame(DIMENSION, [
+            ("V1", driver, 1.0, "N"), ("V2", "D3", 1.0, "S"), ("V8", "D8", 1.0, "S")])
+        run(sq.start_events_and_state(source.stream(), vehicles, f"{folder}/out", store,
+                                      f"{folder}/{checkpoint}", trigger=ONCE, clock=lambda: NOW,
+                                      stream_id="fleet"))
+        events = spark.read.parquet(f"{folder}/out").drop("processing_ts")
+        seen.append((values(events, "vin", "event_timestamp", "driver_id", "batch_id"),
+                     values(store.read_state()), values(store.read_audit())))
+    assert seen[0] == seen[1]
+    assert {row[2] for row in seen[0][0]} == {"D1", "D3"}
+    # the vehicles of the batch alone are kept, and readers of the events do not see them
+    assert spark.read.parquet(f"{folder}/out/_assignments/of-fleet/1").count() == 1
+    source.send(message("V1", 20))  # a batch of its own has the assignments of its time
+    run(sq.start_events_and_state(source.stream(), vehicles, f"{folder}/out", store, f"{folder}/cp2",
+                                  trigger=ONCE, clock=lambda: NOW, stream_id="fleet"))
+    late = spark.read.parquet(f"{folder}/out").filter(f"event_timestamp = {T0 + 20}")
+    assert values(late, "driver_id") == [("D2",)]
+
+
 def test_closed_windows_equal_batch(spark, source, dimension, folder):
     fill(source)
     run(sq.start_driver_risk_aggregates(source.stream(), dimension, f"{folder}/out", f"{folder}/cp",
