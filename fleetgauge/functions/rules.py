@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,6 +51,20 @@ def by_tier(score: Column, attribute: str, settings: RiskSettings) -> Column:
     return chain.otherwise(value(settings.lowest_tier))
 
 
+def tier_of(score: Column, settings: RiskSettings) -> Column:
+    """The suspension tier that ``score`` reaches, as a struct of all its attributes."""
+
+    def value(tier: SuspensionTier) -> Column:
+        return F.struct(*[F.lit(v).cast("string" if name.endswith(("status", "reason", "category")) else "int")
+                          .alias(name) for name, v in asdict(tier).items()])
+
+    highest, *others = sorted(settings.tiers, key=lambda t: -t.floor)
+    chain = F.when(score >= highest.floor, value(highest))
+    for tier in others:
+        chain = chain.when(score >= tier.floor, value(tier))
+    return chain.otherwise(value(settings.lowest_tier))
+
+
 def lowered(score: Column, by: int) -> Column:
     """``score`` less ``by``, never below zero."""
     return F.greatest(score - by, F.lit(0).cast("bigint"))

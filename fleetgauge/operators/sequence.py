@@ -19,6 +19,7 @@ def with_previous(
     ties: Sequence[str],
     output: str,
     piece: str = "HOUR",
+    most: int = 1_000_000,
 ) -> DataFrame:
     """Add ``output``: ``value`` of the row before, per key, by ``time`` then ``ties``.
 
@@ -26,19 +27,31 @@ def with_previous(
     nor are rows without a key.
 
     A window over a key runs it in one task. Here each key is cut into pieces of
-    time (a unit of ``date_trunc``), every key alike. A first window works inside
-    the pieces; a second one over the first and last rows of the pieces of a key
-    carries the value over the borders. So a task holds the rows of one key and
-    piece, or two rows for each piece of a key.
+    time (a unit of ``date_trunc``), every key alike. Pieces with more than ``most``
+    rows are cut finer, into minutes, and those with sixty times as many into seconds;
+    they are found by counting, which brings copies of a piece together before it
+    shuffles, and there is at most one for every ``most`` rows of the table. A first window
+    works inside the pieces; a second one over the first and last rows of the pieces of a
+    key carries the value over the borders. So a task holds up to ``most`` rows of a key and
+    piece (or those of one second), or two rows for each piece of a key.
     """
     order = [time, *ties]
     untimed = F.col(time).isNull()
     # any spread will do: of rows without a time only the very last is followed
     spread = F.when(untimed, F.pmod(F.xxhash64(*ties, value), F.lit(UNTIMED_GROUPS)))
     inside = Window.partitionBy(key, "_piece", "_spread").orderBy(*order)
+    keyed = df.filter(F.col(key).isNotNull()).withColumn("_piece", F.date_trunc(piece, F.col(time)))
+    full = (
+        keyed.groupBy(F.col(key).alias("_full_key"), F.col("_piece").alias("_full_piece"))
+        .agg(F.count(F.lit(1)).alias("_full_rows")).filter(F.col("_full_rows") > most)
+    )
+    finer = F.when(F.col("_full_rows") > 60 * most, F.date_trunc("SECOND", F.col(time))).when(
+        F.col("_full_rows").isNotNull(), F.date_trunc("MINUTE", F.col(time)))
+    placed = keyed.join(
+        F.broadcast(full), (F.col(key) == F.col("_full_key")) & (F.col("_piece") == F.col("_full_piece")),
+        "left").withColumn("_piece", F.coalesce(finer, "_piece"))
     cut = (
-        df.filter(F.col(key).isNotNull())
-        .withColumns({"_piece": F.date_trunc(piece, F.col(time)), "_spread": spread})
+        placed.withColumn("_spread", spread)
         .withColumns({"_before": F.lag(F.struct(F.col(value).alias("v"))).over(inside),
                       "_after": F.lead(key).over(inside)})
         .filter(~untimed | F.col("_after").isNull())

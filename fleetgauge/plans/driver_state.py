@@ -198,26 +198,23 @@ def credit(held: DataFrame, fresh: DataFrame, source: str, run: int, as_of: Mome
     joined = old.join(new, "driver_id", "full").withColumn(
         "_rated", F.when(seen | F.col("_new").isNull(), empty).otherwise(F.transform("_new", total)))
     touched = F.size("_rated") > 0
-    score = lambda w: w["total_strike_score"]
-    tier = lambda w, name: rules.by_tier(score(w), name, settings).alias(name)
-    sets = lambda w: F.struct(
-        w["window_start"].alias("window_start"), *[tier(w, name) for name in TIER_COLUMNS],
-        rules.lowered(score(w), settings.decay_allowance).alias("strike_decay_score"),
-        tier(w, "cooldown_days"))
-    last = F.array_max(F.transform("_rated", sets))
+    judged = F.transform("_rated", lambda w: F.struct(
+        w["window_start"].alias("window_start"), w["total_strike_score"].alias("score"),
+        rules.tier_of(w["total_strike_score"], settings).alias("tier")))
     previous = F.coalesce("suspension_status", F.lit(ACTIVE)) if true_previous else F.lit(ACTIVE)
-    findings = F.transform("_rated", lambda w: finding(
-        "RISK_EVALUATION", previous, rules.by_tier(score(w), "suspension_status", settings), score(w),
-        rules.by_tier(score(w), "suspension_reason", settings)))
+    findings = F.transform("_judged", lambda j: finding(
+        "RISK_EVALUATION", previous, j["tier"]["suspension_status"], j["score"],
+        j["tier"]["suspension_reason"]))
     # windows that go on: those not rated now and still open, and those rated now
     rated = lambda w: F.exists("_rated", lambda r: (
         r["window_start"] == w["window_start"]) & (r["window_end"] == w["window_end"]))
     is_open = (lambda w: F.lit(True)) if closed is None else (lambda w: w["window_end"] > closed)
     going_on = F.concat(F.filter(windows, lambda w: ~rated(w) & is_open(w)), "_rated")
 
-    days = F.col("_last.cooldown_days") if cooldown_by_tier else F.lit(1)
-    replaced = {name: F.col(f"_last.{name}") for name in (*TIER_COLUMNS, "strike_decay_score")}
-    replaced |= {"cooldown_until": now + F.make_interval(days=days), "updated_ts": now}
+    days = F.col("_last.tier.cooldown_days") if cooldown_by_tier else F.lit(1)
+    replaced = {name: F.col(f"_last.tier.{name}") for name in TIER_COLUMNS}
+    replaced |= {"strike_decay_score": rules.lowered(F.col("_last.score"), settings.decay_allowance),
+                 "cooldown_until": now + F.make_interval(days=days), "updated_ts": now}
     columns = {name: F.when(touched, value).otherwise(F.col(name)) for name, value in replaced.items()}
     for added, name in ADDED.items():
         gained = F.transform("_rated", lambda w: w[added])  # noqa: B023
@@ -227,7 +224,7 @@ def credit(held: DataFrame, fresh: DataFrame, source: str, run: int, as_of: Mome
     columns["windows"] = going_on if by_window else windows
     columns["applied"] = F.when(touched, mark(source, run, now, kept_sources)).otherwise(F.col("applied"))
     columns["findings"] = F.when(touched, findings).otherwise(F.col("findings"))
-    return joined.withColumn("_last", last).select(
+    return joined.withColumn("_judged", judged).withColumn("_last", F.array_max("_judged")).select(
         *[columns.get(c, F.col(c)).alias(c) for c in held.columns])
 
 

@@ -269,8 +269,9 @@ class DriverStateStore:
     def _finish(self, stream_id: str, batch_id: int, newest: float | None) -> None:
         """The last step of a batch; the last few batches of each stream are remembered."""
         folder = self._run_folder(stream_id)
-        self.spark.createDataFrame([(batch_id, newest)], RUN).coalesce(1).write.mode(
-            "overwrite").parquet(f"{folder}/{batch_id}")
+        row = self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("run"),
+                                         F.lit(newest).cast("double").alias("newest"))
+        row.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{batch_id}")
         for run in self._runs(stream_id)[:-4]:
             delete(self.spark, f"{folder}/{run}")
 

@@ -437,6 +437,14 @@ def expected() -> dict[str, str]:
               ORDER BY event_time NULLS FIRST, transaction_id) AS previous_reading
             FROM (SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 3 = 0 THEN vin
                                     ELSE 'VIN0' END AS vin) FROM fuel)""",
+        "previous_reading_one_hour": f"""WITH {SILVER}
+            SELECT vin, transaction_id, lag(odometer_reading) OVER (PARTITION BY vin
+              ORDER BY event_time NULLS FIRST, transaction_id) AS previous_reading
+            FROM (SELECT * REPLACE (
+                    CASE WHEN hot THEN 'VIN0' ELSE vin END AS vin,
+                    CASE WHEN hot THEN TIMESTAMP '2024-01-01' + to_seconds(CAST(transaction_id AS BIGINT) % 3600)
+                         ELSE event_time END AS event_time)
+                  FROM (SELECT *, CAST(transaction_id AS BIGINT) % 3 <> 0 AS hot FROM fuel))""",
         "silver_from_csv": f"WITH {SILVER} SELECT * FROM fuel",
         "risk_evaluation_audit": f"""WITH {STATE} SELECT {_state_audit(
             'RISK_EVALUATION', "'ACTIVE'", 'suspension_status', 'suspension_reason')}

@@ -96,6 +96,20 @@ def previous_reading_hot_vin(spark: SparkSession, folder: str) -> DataFrame:
     return stepped.select("vin", "transaction_id", "previous_reading")
 
 
+@query
+def previous_reading_one_hour(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with all refuels of that vin within one hour, cut into seconds."""
+    hot = F.col("transaction_id").cast("bigint") % 3 != 0
+    second = F.col("transaction_id").cast("bigint") % 3600
+    fuel_rows = silver_fuel_transactions(spark, folder).withColumns({
+        "vin": F.when(hot, "VIN0").otherwise(F.col("vin")),
+        "event_time": F.when(hot, F.timestamp_seconds(F.lit(1704067200) + second)).otherwise(
+            F.col("event_time"))})
+    stepped = with_previous(fuel_rows, "vin", "event_time", "odometer_reading",
+                            ["transaction_id"], "previous_reading", most=10)
+    return stepped.select("vin", "transaction_id", "previous_reading")
+
+
 @query
 def gold_asset_history_scd2(spark: SparkSession, folder: str) -> DataFrame:
     """Two merges: the assignments up to a day, then all of them."""

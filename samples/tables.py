@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.operators.dedup import keep_first
 
-ARRIVALS = 8
+ARRIVALS = 6
 FIRST_SNAPSHOT_END = "2001-01-01 00:00:00"
 # The columns in use. A stated schema spares the job that reads it from a file footer.
 TABLES = {

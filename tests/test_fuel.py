@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import plan_of, values
+from pyspark.sql import functions as F
 
 from fleetgauge.operators.sequence import with_previous
 from fleetgauge.plans.fuel import audited_refuels, fuel_efficiency
@@ -110,3 +111,29 @@ def test_no_job_runs_before_the_audit_is_read_and_a_vin_is_cut(tables):
     audit = audited_refuels(fuel, maintenance)
     assert "hashpartitioning(vin#" in plan_of(audit) and "_piece" in plan_of(audit)
     assert values(audit) == values(audited_refuels(fuel, maintenance, RiskSettings(sequence_piece="YEAR")))
+
+
+@pytest.mark.parametrize("most", [1, 4, 1000])
+def test_full_pieces_are_cut_finer(frame, most):
+    """All rows of a vin in one hour, some at the same second, against a plain walk."""
+    rng = random.Random(most)
+    rows = [("hot", day("2024-01-01") + timedelta(seconds=rng.randrange(900)), i, float(i)) for i in range(400)]
+    rows += [(f"k{i % 7}", day("2024-01-01") + timedelta(minutes=i), i, float(i)) for i in range(400, 450)]
+    rows += [("hot", None, i, float(i)) for i in range(450, 460)]
+    df = frame("k STRING, t TIMESTAMP, i INT, v DOUBLE", rows)
+    got = with_previous(df, "k", "t", "v", ["i"], "p", most=most)
+    assert values(got, "k", "i", "p") == sorted(
+        previous_by_hand(rows), key=lambda row: tuple((v is not None, str(v)) for v in row))
+
+
+def test_hot_vin_within_an_hour_is_spread(spark, frame):
+    """No task of the window holds a large part of the rows."""
+    df = spark.range(20_000).selectExpr(
+        "'hot' AS k", "timestamp_seconds(1704067200 + id % 3600) AS t", "id AS i", "id * 1.0 AS v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = with_previous(df, "k", "t", "v", ["i"], "p", most=100)
+        sizes = [r[0] for r in got.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 20_000 and max(sizes) < 0.6 * sum(sizes)

@@ -63,7 +63,7 @@ def test_merge_does_not_read_the_archive(spark, gold):
     store = AssetHistoryStore(spark, f"{gold}/history")
     assert store.read().count() > store.read_current().count()
     files = store.read_current().inputFiles()
-    assert files and all("/data/" in f and "is_current=1" in f for f in files)
+    assert files and all("/run=2/is_current=1" in f for f in files)
 
 
 def test_refuels_are_shuffled_once_for_baselines_and_audit(spark, gold):
