@@ -28,3 +28,25 @@ def sized_join_side(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYT
     cannot see sizes: stream-static joins, and frames that grow by ``explode``.
     """
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df.hint("merge")
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, by: str, salts: int) -> DataFrame:
+    """Left join on ``key`` in which the rows of a key meet in ``salts`` groups, by a hash of ``by``.
+
+    Every row of ``right`` is copied to each group, so the right side grows by that factor.
+    """
+    if salts <= 1:
+        return left.join(right, key, "left")
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+
+
+def stream_join_side(df: DataFrame, max_rows: int, salts: int) -> tuple[DataFrame, int]:
+    """The static side of a streaming join, and the salts to join it with.
+
+    It is measured once: up to ``max_rows`` it is broadcast, which needs no salt.
+    """
+    if fits_broadcast(df, max_rows):
+        return F.broadcast(df), 1
+    return df.hint("merge"), salts

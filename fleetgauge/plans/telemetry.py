@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fleetgauge.functions import rules
 from fleetgauge.functions.conversion import epoch_to_time, moment
 from fleetgauge.operators.dedup import keep_one
+from fleetgauge.operators.joins import spread_join
 from fleetgauge.schemas import TELEMETRY
 from fleetgauge.settings import RiskSettings, StreamSettings
 
@@ -46,9 +47,14 @@ def clean_telemetry(events: DataFrame, settings: StreamSettings = StreamSettings
     return keep_one(timed, ["vin", "event_time"])
 
 
-def enrich(events: DataFrame, assignments: DataFrame) -> DataFrame:
-    """Driver, rate and region of the vehicle; NULL if it has no assignment."""
-    return events.join(assignments, "vin", "left")
+def enrich(events: DataFrame, assignments: DataFrame, salts: int = 1) -> DataFrame:
+    """Driver, rate and region of the vehicle; NULL if it has no assignment.
+
+    With ``salts``, the events of a vehicle are spread over so many tasks and each
+    assignment is copied to all of them: for streams, whose joins Spark does not split
+    at run time.
+    """
+    return spread_join(events, assignments, "vin", "event_time", salts)
 
 
 def score_events(events: DataFrame, settings: RiskSettings = RiskSettings(),
@@ -76,9 +82,9 @@ def score_events(events: DataFrame, settings: RiskSettings = RiskSettings(),
 
 def driver_safety_status(events: DataFrame, assignments: DataFrame,
                          settings: RiskSettings = RiskSettings(),
-                         as_of: datetime | str | Column | None = None) -> DataFrame:
+                         as_of: datetime | str | Column | None = None, salts: int = 1) -> DataFrame:
     """The event table, from clean events and current assignments."""
-    return score_events(enrich(events, assignments), settings, as_of).select(*SAFETY_COLUMNS)
+    return score_events(enrich(events, assignments, salts), settings, as_of).select(*SAFETY_COLUMNS)
 
 
 def driver_risk_aggregates(scored: DataFrame,

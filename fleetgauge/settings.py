@@ -75,6 +75,8 @@ class StreamSettings:
     max_offsets_per_trigger: int | None = None
     # a dimension with at most this many rows is broadcast to the stream
     broadcast_rows: int = 1_000_000
+    # groups that the events of a vehicle are spread over to join a larger one in a stream
+    join_salts: int = 16
     # Parquet buckets that drivers are hashed into; fixed when a state is first written
     state_buckets: int = 16
     # older files of a bucket that stay for readers, and for how long at least

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetgauge.operators.joins import sized_join_side
+from fleetgauge.operators.joins import sized_join_side, stream_join_side
 from fleetgauge.plans.stores import DriverStateStore
 from fleetgauge.plans.telemetry import (
     clean_telemetry,
@@ -56,8 +56,8 @@ def start_driver_safety(messages: DataFrame, assignments: DataFrame, path: str,
     The assignments are those of the start; restart the query to renew them, or
     use :func:`start_driver_safety_current`.
     """
-    dimension = sized_join_side(assignments, stream.broadcast_rows)
-    events = driver_safety_status(clean_stream(messages, stream), dimension, settings)
+    dimension, salts = stream_join_side(assignments, stream.broadcast_rows, stream.join_salts)
+    events = driver_safety_status(clean_stream(messages, stream), dimension, settings, salts=salts)
     return (
         events.writeStream.format("parquet").outputMode("append").partitionBy("date", "hour")
         .option("path", path).option("checkpointLocation", checkpoint)
@@ -146,8 +146,8 @@ def _once(store: DriverStateStore, apply: BatchFunction, stream_id: str | None)
 
 def _windowed(messages: DataFrame, assignments: DataFrame, settings: RiskSettings,
               stream: StreamSettings) -> DataFrame:
-    dimension = sized_join_side(assignments, stream.broadcast_rows)
-    scored = score_events(enrich(clean_stream(messages, stream), dimension), settings)
+    dimension, salts = stream_join_side(assignments, stream.broadcast_rows, stream.join_salts)
+    scored = score_events(enrich(clean_stream(messages, stream), dimension, salts), settings)
     return driver_risk_aggregates(scored, stream)
 
 

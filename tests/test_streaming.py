@@ -5,10 +5,12 @@ from datetime import datetime
 
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
 
 from fleetgauge.plans import driver_state as ds
 from fleetgauge.plans import telemetry as tm
 from fleetgauge.plans.stores import DriverStateStore
+from fleetgauge.settings import StreamSettings
 from fleetgauge.sources.streams import json_lines_source
 from fleetgauge.streaming import queries as sq
 
@@ -215,6 +217,39 @@ def test_as_emitted_counts_growing_windows_again(spark, source, dimension, folde
     assert values(store.read_state(), "total_strike_score") == [(54,)]
 
 
+def test_large_dimension_is_joined_by_salted_keys(spark, source, dimension, folder):
+    """The same rows as with a broadcast, from streams that may not broadcast anything."""
+    fill(source)
+    none = StreamSettings(broadcast_rows=0, join_salts=5)
+    run(sq.start_driver_safety(source.stream(), dimension, f"{folder}/out", f"{folder}/cp1", stream=none,
+                               trigger=ONCE))
+    run(sq.start_driver_risk_aggregates(source.stream(), dimension, f"{folder}/windows", f"{folder}/cp2",
+                                        stream=none, trigger=ONCE))
+    columns = [c for c in tm.SAFETY_COLUMNS if c != "processing_ts"]
+    events = tm.driver_safety_status(source.batch(), dimension)
+    assert values(spark.read.parquet(f"{folder}/out"), *columns) == values(events, *columns)
+    closed = tm.flatten_window(tm.driver_risk_aggregates(events)).filter(
+        "window_end <= TIMESTAMP '2024-01-01 02:20:00'")
+    assert values(tm.flatten_window(spark.read.parquet(f"{folder}/windows"))) == values(closed)
+
+
+def test_hot_vehicle_is_spread_over_the_tasks(spark):
+    """One vehicle has half of all events; no task of the join has twice the median."""
+    events = spark.range(40_000).selectExpr(
+        "IF(id % 2 = 0, 'HOT', concat('V', id)) AS vin", "timestamp_seconds(1704067200 + id) AS event_time")
+    vehicles = events.select("vin").distinct().selectExpr("vin", "concat('D', vin) AS driver_id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows_by_task = lambda df: sorted(r[0] for r in df.filter("driver_id LIKE 'D%'").groupBy(
+            F.spark_partition_id()).count().select("count").collect())
+        joined = tm.enrich(events, vehicles.hint("merge"), 64)
+        sizes, alone = rows_by_task(joined), rows_by_task(tm.enrich(events, vehicles.hint("merge")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert joined.filter("driver_id = concat('D', vin)").count() == sum(sizes) == 40_000
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2] and alone[-1] > 2 * alone[len(alone) // 2]
+
+
 def test_large_dimension_is_not_broadcast(spark, frame):
     from fleetgauge.operators.joins import sized_join_side
     small, large = sized_join_side(spark.range(3), 3), sized_join_side(spark.range(4), 3)
