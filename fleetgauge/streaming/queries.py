@@ -7,7 +7,8 @@ checkpoint path, and returns the started query. ``trigger`` is the keyword of
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 from urllib.parse import quote
 
@@ -36,11 +37,24 @@ Clock = Callable[[], datetime]
 BatchFunction = Callable[[DataFrame, int], None]
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB; for state beyond executor memory."""
+    """Keep streaming state in RocksDB; for state beyond executor memory, and for timers."""
     spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        STATE_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """The same for the queries that are started within."""
+    before = spark.conf.get(STATE_PROVIDER, None)
+    use_rocksdb_state(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_PROVIDER, before) if before else spark.conf.unset(STATE_PROVIDER)
 
 
 def clean_stream(messages: DataFrame, stream: StreamSettings = StreamSettings()) -> DataFrame:

@@ -14,6 +14,7 @@ BATCH_SPLIT = "2024-01-01 04:00:00"
 FIRST_BATCH = "2024-01-02 00:00:00"
 SECOND_BATCH = "2024-01-02 01:00:00"
 UPKEEP = "2024-01-10 00:00:00"
+COOLDOWN_SECONDS = 5400
 
 TELEMETRY = """
 base AS (
@@ -206,6 +207,27 @@ def batches_state(score: str, over: str, zone: str) -> str:
     FROM per_driver JOIN tiers USING (tier)"""
 
 
+# Windows that the watermark has closed, each with the cooldown it starts and the next that closes.
+TIMED = f"""{ARRIVED},
+closed AS (
+  SELECT driver_id, start, start + 1800 AS ended, sum(score) AS score, sum(over) AS over, sum(zone) AS zone
+  FROM added GROUP BY driver_id, start
+  HAVING start + 1800 <= (SELECT max(event_timestamp) - 600 FROM arrivals)),
+walked AS (
+  SELECT *, CASE WHEN score >= 25 THEN 3 WHEN score >= 15 THEN 2 WHEN score >= 8 THEN 1 ELSE 0 END AS tier,
+    ended + {COOLDOWN_SECONDS} AS cooldown, lead(ended) OVER w AS next_end, min(ended) OVER all_ AS first_end,
+    sum(score) OVER w AS total, sum(over) OVER w AS total_over, sum(zone) OVER w AS total_zone
+  FROM closed WINDOW w AS (PARTITION BY driver_id ORDER BY ended), all_ AS (PARTITION BY driver_id)),
+lifted AS (
+  SELECT *, tier > 0 AND cooldown <= coalesce(next_end, (SELECT max(event_timestamp) - 600 FROM arrivals))
+    AS lifted
+  FROM walked JOIN tiers USING (tier))"""
+
+
+def _seconds(value: str) -> str:
+    return f"CAST(to_timestamp({value}) AT TIME ZONE 'UTC' AS TIMESTAMP)"
+
+
 HISTORY_COLUMNS = ("vin, driver_id, start_date, end_date, daily_rate, region, status, "
                    "record_start_ts, record_end_ts, is_current, change_type, created_ts")
 
@@ -432,6 +454,25 @@ def expected() -> dict[str, str]:
               suspension_status AS new_status, CAST(total AS BIGINT) AS strike_score,
               suspension_reason AS event_reason
             FROM tiered JOIN tiers USING (tier)""",
+        "stream_state_by_timers": f"""WITH {TIMED}
+            SELECT driver_id, CAST(total AS BIGINT) AS total_strike_score, risk_category,
+              CASE WHEN lifted THEN 'ACTIVE' ELSE suspension_status END AS suspension_status,
+              CASE WHEN lifted THEN NULL ELSE suspension_reason END AS suspension_reason,
+              {_seconds('cooldown')} AS cooldown_until, warning_count, suspension_count,
+              CASE WHEN lifted THEN 1 ELSE reinstatement_eligible END AS reinstatement_eligible,
+              CAST(greatest(score - 2, 0) AS BIGINT) AS strike_decay_score,
+              CAST(total_over AS BIGINT) AS total_overspeed_events,
+              CAST(total_zone AS BIGINT) AS total_restricted_zone_events,
+              {_seconds('first_end')} AS last_event_ts,
+              {_seconds('CASE WHEN lifted THEN cooldown ELSE ended END')} AS updated_ts
+            FROM lifted WHERE next_end IS NULL""",
+        "stream_audit_by_timers": f"""WITH {TIMED}
+            SELECT driver_id, 'RISK_EVALUATION' AS event_type, 'ACTIVE' AS previous_status,
+              suspension_status AS new_status, CAST(score AS BIGINT) AS strike_score,
+              suspension_reason AS event_reason FROM lifted
+            UNION ALL
+            SELECT driver_id, 'AUTO_REINSTATEMENT', suspension_status, 'ACTIVE', CAST(total AS BIGINT),
+              'Cooldown expired' FROM lifted WHERE lifted""",
         "previous_reading_hot_vin": f"""WITH {SILVER}
             SELECT vin, transaction_id, lag(odometer_reading) OVER (PARTITION BY vin
               ORDER BY event_time NULLS FIRST, transaction_id) AS previous_reading

@@ -25,6 +25,7 @@ from fleetgauge.sources.files import read_raw
 from fleetgauge.sources.scratch import new_scratch_path, staged
 from fleetgauge.sources.streams import json_lines_source
 from fleetgauge.streaming import queries as streams
+from fleetgauge.streaming import timers
 from samples import oracle
 from samples.tables import FIRST_SNAPSHOT_END, FleetSample
 
@@ -319,6 +320,28 @@ def stream_state_as_emitted(spark: SparkSession, folder: str) -> DataFrame:
     return store.read_state()
 
 
+def _changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes of all drivers, with cooldowns of an hour and a half."""
+    sample, path = FleetSample(spark, folder), new_scratch_path(spark, "driver-changes")
+    with streams.rocksdb_state(spark):
+        timers.start_driver_changes(
+            _arrivals(sample), sample.dimension(), path, new_scratch_path(spark, "stream-checkpoint"),
+            cooldown_seconds=oracle.COOLDOWN_SECONDS, trigger=ALL_NOW).awaitTermination()
+    return spark.read.schema(timers.CHANGES).parquet(path)
+
+
+@query
+def stream_state_by_timers(spark: SparkSession, folder: str) -> DataFrame:
+    """The state of each driver, with cooldowns that ended by the time of the events."""
+    return timers.state_of(_changes(spark, folder))
+
+
+@query
+def stream_audit_by_timers(spark: SparkSession, folder: str) -> DataFrame:
+    """Evaluations and reinstatements in one log."""
+    return timers.audit_of(_changes(spark, folder))
+
+
 # --- quality and reports
 
 
