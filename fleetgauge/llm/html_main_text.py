@@ -46,11 +46,14 @@ MARKS = re.compile(
     r"consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|"
     r"sharing|social|related|recommended|widget|toolbar|pagination|copyright)(?:$|[\s_-])", re.I)
 
-TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""")
-COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>", re.S)
-RAW = re.compile(r"<(script|style|textarea|template|noscript|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)",
+# Every pattern ends at the end of the page if its own end is missing, and gives nothing back that
+# it has read, so a page is read once whatever it holds.
+TAG = re.compile(
+    r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)"""
+    r"""((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?=>)|[^\s"'>][^\s>]*+))?+)*+)(>|\Z)""")
+COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*+(?:>|\Z)", re.S)
+RAW = re.compile(r"<(script|style|textarea|template|noscript|svg|iframe)\b[^>]*+(?:>.*?(?:</\1\s*+>|\Z)|\Z)",
                  re.S | re.I)
-CUT_OFF = re.compile(r"""<(?:/?[a-zA-Z](?:"[^"]*"|'[^']*'|[^'">])*["']?[^>]*|[!/]?)\Z""")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 
 
@@ -65,7 +68,6 @@ class _Line:
 def _lines(page: str) -> list[_Line]:
     """Lines of a page, with gaps at the borders of elements that hold lines."""
     page = RAW.sub(" ", COMMENT.sub("", page))
-    page = CUT_OFF.sub("", page)
     lines = [_Line()]
     skipped, depth = "", 0  # the element that is left out, and how often it is nested
     articles = in_link = 0
@@ -78,9 +80,17 @@ def _lines(page: str) -> list[_Line]:
             if in_link:
                 lines[-1].links += len(part.strip())
 
+    def new_line(gap: bool = False) -> None:
+        if gap and not (len(lines) > 1 and lines[-2].gap and not lines[-1].text):
+            lines.extend((_Line(gap=True), _Line()))
+        elif not gap and lines[-1].text:
+            lines.append(_Line())
+
     for tag in TAG.finditer(page):
         text(page[at:tag.start()])
         at = tag.end()
+        if not tag[4]:  # cut off by the end of the page
+            break
         close, name = bool(tag[1]), tag[2].lower()
         if skipped:
             if name == skipped and name not in VOID and not tag[3].endswith("/"):
@@ -90,7 +100,7 @@ def _lines(page: str) -> list[_Line]:
             if not ends:
                 continue
             skipped = ""
-            lines.append(_Line())
+            new_line()
             if depth == 0:
                 continue
         if not close and name not in VOID and name not in ("html", "body", *ARTICLE):
@@ -99,20 +109,20 @@ def _lines(page: str) -> list[_Line]:
             if apart or (marks and MARKS.search(marks)):
                 if not tag[3].endswith("/"):
                     skipped, depth = name, 1
-                    lines.append(_Line())
+                    new_line()
                 continue
         if name in ARTICLE:
             articles = max(0, articles + (-1 if close else 1))
         if name == "a":
             in_link = 0 if close else 1
         if name in HOLDER:
-            lines.append(_Line(gap=True))
-            lines.append(_Line())
+            new_line(gap=True)
         elif name in LINE:
-            lines.append(_Line())
+            new_line()
         elif name == "br" and not skipped:
             lines[-1].text.append(" ")
-    text(page[at:])
+    rest = page[at:]
+    text(rest[:-1] if rest.endswith("<") else rest.removesuffix("</"))
     return lines
 
 
