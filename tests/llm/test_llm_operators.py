@@ -384,6 +384,66 @@ def test_toxicity_counts_every_word_and_predecessor(frame, spark):
     assert got[key("common")].m1 > 266
 
 
+def plain_ratios(rows, settings):
+    """Log ratio of each word and beginning by the definition, of ``(text, toxic)`` rows."""
+    out = {}
+    for begins in (False, True):
+        n, before = (Counter(), Counter()), {}
+        for text, toxic in rows:
+            last = ""
+            for word in text.split():
+                key = word[:settings.beginning] if begins else word
+                n[toxic][key] += 1
+                before.setdefault(key, (set(), set()))[toxic].add(last)
+                last = word
+        shared = sum(len(a | b) + 1e-3 for a, b in before.values())
+        for key, (a, b) in before.items():
+            chance = [max(n[c][key] - settings.discount, 0) / max(sum(n[c].values()), 1)
+                      + settings.discount * len(n[c]) / sum(n[c].values()) * (len(a | b) + 1e-3) / shared
+                      for c in (0, 1)]
+            ratio = float(np.log(chance[1] / chance[0]))
+            said = len(b) > settings.rare and abs(ratio) >= settings.common
+            if said or (not begins and max(len(a), len(b)) > settings.rare):
+                out[begins, key] = ratio if said else 0.0
+    return out
+
+
+def test_toxicity_ratios_equal_plain_version(frame, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [f"{a}{b}word" for a in "bcdfghklmn" for b in "aeiou"]
+    vile = ["vileness", "viletalk", "vilest", "grimly"]
+    rows = []
+    for i in range(160):
+        toxic = i % 4 == 0
+        text = list(rng.choice(words, 40)) + list(rng.choice(vile, 6)) * toxic + ["vilest"] * (i % 7 == 1)
+        rows.append((" ".join(rng.permutation(text)), toxic))
+    settings = toxicity.ToxicitySettings()
+    want = plain_ratios(rows, settings)
+    made = frame("text STRING, toxic BOOLEAN", rows).withColumn("check", F.lit(False))
+    found, totals = toxicity.expressions(made, settings)
+    key = {int(toxicity._hashes(w, 5)[begins][0]): (bool(begins), w[:5] if begins else w)
+           for w in words + vile for begins in (0, 1)}
+    assert found.count() == len({k for text, _ in rows for w in text.split() for k in ((0, w), (1, w[:5]))})
+    for limit in (toxicity.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(toxicity, "BROADCAST_BYTES", limit)
+        counts = toxicity.count_table(made, settings, toxicity.telling(found, totals, settings))
+        got = {key[r.key]: r.ratio for r in toxicity.log_ratios(counts, totals, settings, True).collect()}
+        told = {k for k, v in want.items() if v}
+        assert {(False, "grimly"), (False, "vileness")} <= told <= set(got)
+        assert all(abs(v - want[k]) < 0.02 for k, v in got.items())
+        # a word that is left out has no ratio, and no beginning to take its place
+        assert all(not v and (True, k[1][:5]) not in told for k, v in want.items() if k not in got)
+
+
+def test_number_of_different_pairs():
+    rng = np.random.default_rng(8)
+    for n in (1, 300, 20_000, 2_000_000):
+        pairs = rng.integers(-2**63, 2**63 - 1, (2, n))
+        twice = np.concatenate([pairs, pairs], axis=1)
+        ranks = toxicity._registers(*twice, np.ones(2 * n, bool))
+        assert abs(toxicity._different((2.0 ** -ranks).sum(), int((ranks == 0).sum())) - n) <= 0.03 * n
+
+
 def test_toxicity_by_join_equals_by_broadcast(spark, odd, monkeypatch):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
     model = toxicity.train(docs, labels)
