@@ -7,13 +7,14 @@ model has not seen, so it follows the model whatever the corpus.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.llm.common import (
-    BROADCAST_BYTES, KEYS, WHITE, broadcast_if_small, stage, staged_bytes, text_key, words_of)
+    BROADCAST_BYTES, KEYS, WHITE, broadcast_if_small, ranked, stage, staged_bytes, text_key, words_of)
 
 SYMBOLS = "#*$%&|<>"
 
@@ -111,14 +112,15 @@ def _with_target(docs: DataFrame, labels: DataFrame, settings: QualitySettings)
 
 
 def gram_counts(grams: DataFrame) -> DataFrame:
-    """``gram, n, n_target`` of every n-gram that occurs twice or more, staged.
+    """``gram, n, n_target`` of every n-gram of the target that occurs twice or more, staged.
 
     ``n`` counts all documents, ``n_target`` the target. One that occurs once needs no row: its
-    counts are those of the document that holds it.
+    counts are those of the document that holds it. Nor does one that the target lacks: its
+    share of the target is 0 however often it occurs.
     """
     return stage(
         grams.groupBy("gram").agg(F.count("*").alias("n"), F.sum("_target").alias("n_target"))
-        .filter("n > 1"), "gram-counts")
+        .filter("n > 1 AND n_target > 0"), "gram-counts")
 
 
 def _frequent(counts: DataFrame, most: int) -> int:
@@ -159,6 +161,14 @@ def text_ratios(grams: DataFrame, totals: tuple[int, int],
     return parts.groupBy(*KEYS).agg(F.round(F.sum("_sum") / F.sum("_n"), 9).alias("ratio"))
 
 
+def _least_ratio(held: DataFrame, settings: QualitySettings) -> float | None:
+    """The ratio of exact rank ``lost`` among ``held``; none if there are no rows."""
+    places = ranked(held.select("ratio"), [F.col("ratio")], "_place")
+    place = max(math.ceil(settings.lost * places.count()), 1) - 1
+    found = places.filter(F.col("_place") == place).first()
+    return found and found["ratio"]
+
+
 def judge_quality(docs: DataFrame, labels: DataFrame,
                   settings: QualitySettings = QualitySettings()) -> DataFrame:
     """Per document ``doc_id``, the columns of ``base_counts``, ``ratio`` and ``kept``.
@@ -182,7 +192,6 @@ def judge_quality(docs: DataFrame, labels: DataFrame,
     ratios = text_ratios(grams, (totals[0], totals[1]), settings)
     judged = stage(counted.join(ratios, KEYS, "left").drop(*KEYS).withColumn(
         "ratio", F.coalesce("ratio", F.lit(0.0))), "judged")
-    least = judged.filter("_good AND _target = 0 AND NOT base_failed").agg(
-        F.percentile_approx("ratio", settings.lost, 10000)).first()[0]
+    least = _least_ratio(judged.filter("_good AND _target = 0 AND NOT base_failed"), settings)
     enough = F.lit(True) if least is None else F.col("ratio") >= least
     return judged.drop("_good", "_target").withColumn("kept", ~F.col("base_failed") & enough)
