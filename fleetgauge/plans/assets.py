@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.conversion import moment
@@ -52,8 +52,16 @@ def changed_assignments(snapshot: DataFrame, current: DataFrame,
         facts += [F.min(name).alias(f"_min_{name}"), F.max(name).alias(f"_max_{name}"),
                   F.count(name).alias(f"_known_{name}")]
     known = current.groupBy("vin").agg(*facts)
+    joined = snapshot.join(known, "vin", "left")
+    return joined.filter(F.col("_rows").isNull() | _differs(null_safe)).select(snapshot.columns)
+
 
-    def differs(name: str) -> Column:
+def _differs(null_safe: bool) -> Column:
+    """Whether a compared column has another value than some current row of the vin.
+
+    Reads ``_rows`` and per column ``_min_``, ``_max_`` and ``_known_`` of the vin's current rows.
+    """
+    def one(name: str) -> Column:
         new, low, high = F.col(name), F.col(f"_min_{name}"), F.col(f"_max_{name}")
         other_value = (new != low) | (new != high)
         if not null_safe:
@@ -61,32 +69,50 @@ def changed_assignments(snapshot: DataFrame, current: DataFrame,
         held = F.col(f"_known_{name}")
         return F.when(new.isNull(), held > 0).otherwise((held < F.col("_rows")) | other_value)
 
-    first, second, third = (differs(name) for name in COMPARED)
-    joined = snapshot.join(known, "vin", "left")
-    return joined.filter(F.col("_rows").isNull() | first | second | third).select(snapshot.columns)
+    first, second, third = (one(name) for name in COMPARED)
+    return first | second | third
+
 
+def roll_forward(current: DataFrame, snapshot: DataFrame,
+                 as_of: datetime | str | Column | None = None,
+                 null_safe: bool = False) -> DataFrame:
+    """Current rows (as they are, or archived if their vin changed) and new versions.
 
-def roll_forward(current: DataFrame, changed: DataFrame,
-                 as_of: datetime | str | Column | None = None) -> DataFrame:
-    """Current rows (as they are, or archived if their vin changed) and new versions."""
+    A snapshot row is a new version if ``changed_assignments`` would return it. Both sides are read
+    once and meet by vin in one pass: windows over the rows of a vin sum up its current rows,
+    find the changed snapshot rows, and tell the current rows of it.
+    """
     now = moment(as_of)
-    replaced = changed.select("vin").distinct().withColumn("_replaced", F.lit(True))
-    gone = F.col("_replaced")
     archived = {
         "end_date": now.cast("date"), "status": F.lit(ARCHIVED), "record_end_ts": now,
         "is_current": F.lit(0), "change_type": F.lit("UPDATE"), "created_ts": now,
     }
-    rolled = current.join(replaced, "vin", "left").select(*[
-        F.when(gone, archived[c]).otherwise(F.col(c)).alias(c) if c in archived else c
-        for c in ASSET_HISTORY.names
-    ])
-    new = changed.select(
+    versions = snapshot.select(
         "vin", "driver_id", "start_date", "end_date", "daily_rate", "region",
         F.lit(IN_TRANSIT).alias("status"), now.alias("record_start_ts"),
         F.lit(None).cast("timestamp").alias("record_end_ts"), F.lit(1).alias("is_current"),
         F.lit("INSERT").alias("change_type"), now.alias("created_ts"),
+        F.lit(True).alias("_new"))
+    # partitioned as the snapshot is by its de-duplication, so that the union moves nothing again
+    held = current.repartition("vin").select(*ASSET_HISTORY.names, F.lit(False).alias("_new"))
+    of_vin, old = Window.partitionBy("vin"), ~F.col("_new")
+    facts = {"_rows": F.count(F.when(old, 1)).over(of_vin)}
+    for name in COMPARED:
+        value = F.when(old, F.col(name))
+        facts |= {f"_min_{name}": F.min(value).over(of_vin), f"_max_{name}": F.max(value).over(of_vin),
+                  f"_known_{name}": F.count(value).over(of_vin)}
+    changed = F.coalesce((F.col("_rows") == 0) | _differs(null_safe), F.lit(False))
+    rows = (
+        held.unionByName(versions).withColumns(facts)
+        .withColumn("_changed", F.col("_new") & changed)
+        .withColumn("_replaced", F.bool_or("_changed").over(of_vin))
+        .filter(old | F.col("_changed"))
     )
-    return rolled.unionByName(new)
+    gone = old & F.col("_replaced")
+    return rows.select(*[
+        F.when(gone, archived[c]).otherwise(F.col(c)).alias(c) if c in archived else c
+        for c in ASSET_HISTORY.names
+    ])
 
 
 def is_current() -> Column:
@@ -106,8 +132,8 @@ def merge_asset_history(history: DataFrame, assignments: DataFrame,
     snapshot = assignment_snapshot(assignments, one_current_per_vin)
     current = history.filter(is_current())
     past = history.filter(~is_current() | F.col("is_current").isNull())
-    changed = changed_assignments(snapshot, current, null_safe)
-    merged = past.select(ASSET_HISTORY.names).unionByName(roll_forward(current, changed, as_of))
+    rolled = roll_forward(current, snapshot, as_of, null_safe)
+    merged = past.select(ASSET_HISTORY.names).unionByName(rolled)
     require_columns(merged, ASSET_HISTORY_REQUIRED)
     return merged.dropDuplicates() if drop_copies else merged
 

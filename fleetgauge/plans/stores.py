@@ -76,8 +76,8 @@ class AssetHistoryStore:
         with turn(self.merges.path):
             current = self._current(self.merges.latest())
             snapshot = assets.assignment_snapshot(assignments, one_current_per_vin)
-            changed = assets.changed_assignments(snapshot, current, null_safe)
-            run = self.merges.write(assets.roll_forward(current, changed, as_of), "is_current")
+            rolled = assets.roll_forward(current, snapshot, as_of, null_safe)
+            run = self.merges.write(rolled, "is_current")
             self.merges.keep(self.keep_versions, self.keep_seconds, "is_current=1")
             return run
 

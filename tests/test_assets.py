@@ -2,7 +2,7 @@ import random
 from datetime import date, datetime
 
 import pytest
-from conftest import values
+from conftest import plan_of, values
 
 from fleetgauge.plans import assets
 from fleetgauge.plans.stores import AssetHistoryStore
@@ -112,6 +112,38 @@ def test_change_detection_equals_pairwise_comparison(frame, null_safe):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("one", [False, True])
+def test_one_pass_merge_equals_row_by_row(frame, null_safe, one):
+    rng = random.Random(6)
+    pick = lambda options: rng.choice(options)
+    make = lambda: (f"V{rng.randrange(25)}", pick(["D1", "D2", None]), pick([DAY, date(2024, 1, 9)]), None,
+                    pick([1.0, 2.0, None]), pick(["N", None]))
+    old = [make() for _ in range(50)]
+    current = frame(ASSET_HISTORY, [r + ("IN-TRANSIT", datetime(2024, 1, 1), None, 1, "INSERT",
+                                         datetime(2024, 1, 1)) for r in old])
+    snapshot = assets.assignment_snapshot(frame(ASSIGNED, [make() for _ in range(60)]), one)
+    changed = [tuple(r) for r in assets.changed_assignments(snapshot, current, null_safe).collect()]
+    vins = {r[0] for r in changed}
+    expected = ([r + ("IN-TRANSIT", 1) for r in changed]
+                + [r[:3] + (date(2024, 2, 2),) + r[4:] + ("ARCHIVED", 0) if r[0] in vins
+                   else r + ("IN-TRANSIT", 1) for r in old])
+    got = assets.roll_forward(current, snapshot, T2, null_safe).select(
+        *ASSET_HISTORY.names[:7], "is_current").collect()
+    assert changed and sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+
+
+def test_merge_moves_each_side_once(spark, folder, frame):
+    frame(ASSIGNED, [row(f"V{i}") for i in range(50)]).write.parquet(f"{folder}/assigned")
+    frame(ASSET_HISTORY, []).write.parquet(f"{folder}/history")
+    rolled = assets.roll_forward(
+        spark.read.parquet(f"{folder}/history"),
+        assets.assignment_snapshot(spark.read.parquet(f"{folder}/assigned")), T1)
+    plan = plan_of(rolled)
+    assert plan.count("Exchange hashpartitioning(vin") == plan.count("Exchange") == 2
+    assert plan.count("FileScan parquet") == 2 and "Join" not in plan
+
+
 def test_history_invariants_over_many_merges(spark, folder, frame):
     rng = random.Random(11)
     store = AssetHistoryStore(spark, f"{folder}/history")
