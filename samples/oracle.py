@@ -431,6 +431,14 @@ def expected() -> dict[str, str]:
         "silver_vehicle_assignment": f"WITH {SILVER} SELECT * FROM assignment",
         "silver_fuel_transactions": f"WITH {SILVER} SELECT * FROM fuel",
         "silver_maintenance": f"WITH {SILVER} SELECT * FROM maintenance",
+        "overwrite_months": f"""WITH {SILVER}
+            SELECT vin, transaction_id, CAST(month(event_time) AS INTEGER) AS month FROM fuel
+            WHERE month(event_time) % 2 = 0 OR CAST(transaction_id AS BIGINT) % 3 <> 0
+              OR event_time IS NULL""",
+        "registered_months": f"""WITH {SILVER}
+            SELECT vin, transaction_id, CAST(month(event_time) AS INTEGER) AS month,
+              CASE WHEN month(event_time) > 5 THEN CAST(length(transaction_id) AS INTEGER) END AS digits
+            FROM fuel WHERE event_time IS NOT NULL""",
         "gold_fuel_efficiency": f"WITH {AUDIT} SELECT * FROM audit",
         "gold_asset_history_scd2": f"WITH {HISTORY} SELECT {HISTORY_COLUMNS} FROM history",
         "gold_active_snapshot": f"WITH {HISTORY} SELECT * FROM fleet",
@@ -447,6 +455,9 @@ def expected() -> dict[str, str]:
         "stream_late_dropped": f"""WITH {ARRIVED}
             SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS dropped FROM judged WHERE late
             GROUP BY batch_id""",
+        "stream_outcomes": f"""WITH {ARRIVED}
+            SELECT 'scored_events_current' AS query, count(*) FILTER (WHERE late) AS dropped,
+              TRUE AS ended, FALSE AS failed FROM judged""",
         "stream_state_of_batches": batches_state("score", "over", "zone"),
         "stream_state_as_emitted": batches_state("total", "total_over", "total_zone"),
         "stream_audit_of_batches": f"""WITH {ARRIVED}

@@ -21,11 +21,13 @@ from fleetgauge.plans import driver_state as ds
 from fleetgauge.plans.publish import ParquetReports, publish_reports
 from fleetgauge.plans.stores import DriverStateStore
 from fleetgauge.schemas import ASSET_HISTORY, DRIVER_RISK_STATE, RAW_COLUMNS, empty_table
-from fleetgauge.sources.files import read_raw
+from fleetgauge.sources.catalog import register_table
+from fleetgauge.sources.files import overwrite, overwrite_partitions, read_raw
 from fleetgauge.sources.scratch import new_scratch_path, staged
 from fleetgauge.sources.streams import json_lines_source
 from fleetgauge.streaming import queries as streams
 from fleetgauge.streaming import timers
+from fleetgauge.streaming.supervision import await_outcomes, supervised
 from samples import oracle
 from samples.tables import FIRST_SNAPSHOT_END, FleetSample
 
@@ -75,6 +77,33 @@ def silver_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     return silver.fuel_transactions(read_raw(spark, path, RAW_COLUMNS["fuel_transactions"]))
 
 
+def _fuel_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    return silver_fuel_transactions(spark, folder).select(
+        "vin", "transaction_id", F.month("event_time").alias("month"))
+
+
+@query
+def overwrite_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Refuels stored by month; then the odd months are replaced by two thirds of their rows."""
+    path, rows = new_scratch_path(spark, "fuel-months"), _fuel_by_month(spark, folder)
+    overwrite(rows, path, ["month"])
+    overwrite_partitions(
+        rows.filter("month % 2 = 1 AND CAST(transaction_id AS BIGINT) % 3 <> 0"), path, ["month"])
+    return spark.read.parquet(path)
+
+
+@query
+def registered_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Refuels by name: months that come after the registration, and a column that comes with them."""
+    path, rows = new_scratch_path(spark, "fuel-registered"), _fuel_by_month(spark, folder)
+    name = "fuel_" + path.rsplit("/", 1)[-1].replace("-", "_").replace(".", "_")
+    overwrite(rows.filter("month <= 6"), path, ["month"])
+    register_table(spark, name, path)
+    later = rows.filter("month > 5").withColumn("digits", F.length("transaction_id"))
+    overwrite_partitions(later, path, ["month"])
+    return register_table(spark, name, path)
+
+
 # --- fuel audit and assets
 
 
@@ -287,6 +316,15 @@ def stream_late_dropped(spark: SparkSession, folder: str) -> DataFrame:
     return streams.late_events_by_batch(spark, late).filter("dropped > 0")
 
 
+@query
+def stream_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """What the supervisor reports of that stream."""
+    with supervised(spark) as supervisor:
+        _late_stream(spark, folder)
+        outcomes = await_outcomes(spark, supervisor)
+    return outcomes.select("query", "dropped", "ended", F.col("error").isNotNull().alias("failed"))
+
+
 @query
 def stream_state_of_batches(spark: SparkSession, folder: str) -> DataFrame:
     """The stored state when windows fill over several batches."""

@@ -70,6 +70,24 @@ def test_register_table_finds_partitions(spark, folder):
     assert register_table(spark, "registered_events", folder).count() == 6
 
 
+def test_register_table_keeps_the_table_and_follows_the_folder(spark, folder, monkeypatch):
+    overwrite(spark.range(4).selectExpr("id", "id % 2 AS part"), folder, ["part"])
+    register_table(spark, "followed", folder)
+    said, ask = [], spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: (said.append(text), ask(text))[1])
+    overwrite(spark.range(6).selectExpr("id", "id * 2 AS twice", "id % 3 + 1 AS part"), folder, ["part"])
+    table = register_table(spark, "followed", folder)
+    # part 0 is gone, part 3 and a column are new, and there was no moment without the table
+    assert values(table.select("id", "twice", "part")) == [(i, 2 * i, i % 3 + 1) for i in range(6)]
+    assert not any(text.startswith(("DROP", "CREATE")) for text in said)
+    overwrite(spark.range(2).selectExpr("CAST(id AS STRING) AS id"), folder)
+    assert values(register_table(spark, "followed", folder)) == [("0",), ("1",)]
+    assert any(text.startswith("DROP") for text in said)
+    other = folder + "/it's elsewhere"
+    overwrite(spark.range(3).selectExpr("CAST(id + 7 AS STRING) AS id"), other)
+    assert values(register_table(spark, "followed", other)) == [("7",), ("8",), ("9",)]
+
+
 def test_staging_uses_the_shared_folder_and_cleans_up(spark):
     assert scratch_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     with staged(spark.range(3)) as copy:

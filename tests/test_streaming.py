@@ -11,8 +11,9 @@ from fleetgauge.plans import driver_state as ds
 from fleetgauge.plans import telemetry as tm
 from fleetgauge.plans.stores import DriverStateStore
 from fleetgauge.settings import StreamSettings
-from fleetgauge.sources.streams import json_lines_source
+from fleetgauge.sources.streams import json_lines_source, kafka_source
 from fleetgauge.streaming import queries as sq
+from fleetgauge.streaming.supervision import await_outcomes, supervised
 
 DIMENSION = "vin STRING, driver_id STRING, daily_rate DOUBLE, region STRING"
 T0 = 1704067200
@@ -262,3 +263,61 @@ def test_wide_dimension_is_not_broadcast(spark):
     wide = spark.range(10).selectExpr("id", "repeat('x', 1000) AS note")
     assert fits_broadcast(wide, 10, 20_000) and not fits_broadcast(wide, 10, 10_000)
     assert fits_broadcast(wide.filter("id < 0"), 0, 0)
+
+
+@pytest.mark.parametrize("stop_others", [False, True])
+def test_outcomes_of_a_failed_and_a_finished_query(spark, folder, stop_others):
+    telemetry = Telemetry(spark, folder)
+    telemetry.send(message("V1", 0), message("V2", 10))
+    telemetry.send(message("V1", 7200))
+    telemetry.send(message("V1", 7300))
+    telemetry.send(message("V2", 60), message("V1", 7400))
+
+    def fail(batch, batch_id):
+        raise ValueError("no such table")
+
+    def start(name, sink, **trigger):
+        return (sq.clean_stream(telemetry.stream(), StreamSettings()).writeStream.foreachBatch(sink)
+                .option("checkpointLocation", f"{folder}/{name}").queryName(name).trigger(**trigger).start())
+
+    with supervised(spark) as supervisor:
+        if stop_others:
+            start("endless", lambda batch, batch_id: batch.count(), processingTime="1 second")
+        else:
+            start("good", lambda batch, batch_id: batch.count(), **ONCE)
+        start("bad", fail, **ONCE)
+        got = {r["query"]: r for r in await_outcomes(spark, supervisor, stop_others).collect()}
+    assert got["bad"].ended and "no such table" in got["bad"].error
+    if stop_others:
+        endless = got["endless"]
+        assert (endless.ended, endless.stopped, endless.error) == (True, True, None)
+    else:
+        good = got["good"]
+        assert (good.rows, good.dropped, good.ended, good.stopped, good.error) == (6, 1, True, False, None)
+        assert good.batches >= 4
+    assert not spark.streams.active
+
+
+def test_kafka_options():
+    class Reader:
+        def __init__(self):
+            self.said = {}
+
+        def format(self, name):
+            self.said["format"] = name
+            return self
+
+        def option(self, key, value):
+            self.said[key] = value
+            return self
+
+        def load(self):
+            return self.said
+
+    session = lambda: type("Session", (), {"readStream": Reader()})()
+    wanted = {"format": "kafka", "kafka.bootstrap.servers": "host:1", "subscribe": "events",
+              "startingOffsets": "latest", "failOnDataLoss": "false"}
+    assert kafka_source(session(), "host:1", "events") == wanted
+    limited = StreamSettings(max_offsets_per_trigger=500)
+    assert kafka_source(session(), "host:1", "events", limited, "earliest") == wanted | {
+        "startingOffsets": "earliest", "maxOffsetsPerTrigger": 500}
