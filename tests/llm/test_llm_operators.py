@@ -480,5 +480,5 @@ def test_pipeline_runs(spark):
 
 def test_every_query_is_registered():
     names = set(entry_points.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", n)[0] for n in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {re.match(r"op\d+_", n)[0] for n in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= names
