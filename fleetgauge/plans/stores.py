@@ -247,7 +247,7 @@ class DriverStateStore:
 
     def _write_audit(self, rows: DataFrame, source: str, run: int) -> None:
         keyed = rows.withColumns({"source": F.lit(source), "run": F.lit(run).cast("bigint")})
-        overwrite_partitions(keyed, f"{self.path}/audit", ["source", "run"])
+        overwrite_partitions(keyed, f"{self.path}/audit", ["source", "run"], ["driver_id"])
 
     # --- runs of a stream
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +37,26 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return empty_table(spark, schema)
 
 
-def gathered(df: DataFrame, keys: list[str]) -> DataFrame:
+def gathered(df: DataFrame, keys: list[str], spread_by: Iterable[str] = ()) -> DataFrame:
     """Rows of one output folder in few tasks, so that it gets few files.
 
-    Adaptive execution splits a large folder over several tasks again.
+    Adaptive execution splits a large folder over several tasks again. Spark runs the batches
+    of a stateful stream without it and drops the hint there: every task would write a file to
+    every folder. These rows are dealt by the keys and, given ``spread_by``, a folder with more
+    than a task's share of the rows is split by a hash of these columns. That counts the rows.
     """
-    return df.hint("rebalance", *[F.col(k) for k in keys])
+    conf, spread = df.sparkSession.conf, list(spread_by)
+    if conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        return df.hint("rebalance", *[F.col(k) for k in keys])
+    if not spread:
+        return df.repartition(*keys)
+    share = max(df.count() / int(conf.get("spark.sql.shuffle.partitions")), 1.0)
+    sizes = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.ceil(F.count(F.lit(1)) / share).alias("_parts"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    part = F.pmod(F.xxhash64(*spread), F.col("_parts"))
+    return df.join(F.broadcast(sizes), same).withColumn("_part", part).repartition(
+        *keys, "_part").select(df.columns)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
@@ -51,8 +67,9 @@ def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> Non
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Iterable[str],
+                         spread_by: Iterable[str] = ()) -> None:
     """Replace only the partitions that ``df`` has rows for. Safe to repeat."""
     keys = list(partition_by)
-    (gathered(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (gathered(df, keys, spread_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(path))

@@ -7,6 +7,7 @@ results compare by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import AbstractContextManager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -251,13 +252,19 @@ def reinstatement_audit(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams, each run until all of its source is read
 
 
+def _stored_dimension(sample: FleetSample) -> AbstractContextManager[DataFrame]:
+    """The current assignments as the stored table that a stream reads in every batch."""
+    return staged(sample.dimension(), "dimension")
+
+
 @query
 def stream_driver_safety_status(spark: SparkSession, folder: str) -> DataFrame:
     """The event table as the stream writes it."""
     sample, path = FleetSample(spark, folder), new_scratch_path(spark, "stream-events")
-    streams.start_driver_safety_current(
-        sample.messages(stream=True), sample.dimension, path,
-        new_scratch_path(spark, "stream-checkpoint"), trigger=ALL_NOW).awaitTermination()
+    with _stored_dimension(sample) as dimension:
+        streams.start_driver_safety_current(
+            sample.messages(stream=True), lambda: dimension, path,
+            new_scratch_path(spark, "stream-checkpoint"), trigger=ALL_NOW).awaitTermination()
     return spark.read.parquet(path).drop("processing_ts", "stream_id", "batch_id")
 
 
@@ -265,9 +272,10 @@ def stream_driver_safety_status(spark: SparkSession, folder: str) -> DataFrame:
 def stream_risk_aggregates(spark: SparkSession, folder: str) -> DataFrame:
     """The windows that the watermark has closed."""
     sample, path = FleetSample(spark, folder), new_scratch_path(spark, "stream-windows")
-    streams.start_driver_risk_aggregates(
-        sample.messages(stream=True), sample.dimension(), path,
-        new_scratch_path(spark, "stream-checkpoint"), trigger=ALL_NOW).awaitTermination()
+    with _stored_dimension(sample) as dimension:
+        streams.start_driver_risk_aggregates(
+            sample.messages(stream=True), dimension, path,
+            new_scratch_path(spark, "stream-checkpoint"), trigger=ALL_NOW).awaitTermination()
     return rounded(telemetry.flatten_window(spark.read.parquet(path)), "avg_speed")
 
 
@@ -276,10 +284,11 @@ def stream_driver_state(spark: SparkSession, folder: str) -> DataFrame:
     """The stored driver state after the stream has applied its batches."""
     sample = FleetSample(spark, folder)
     store = DriverStateStore(spark, new_scratch_path(spark, "stream-state"))
-    streams.start_driver_state(
-        sample.messages(stream=True), sample.dimension, store,
-        new_scratch_path(spark, "stream-checkpoint"), trigger=ALL_NOW,
-        clock=lambda: oracle.FIRST_BATCH).awaitTermination()
+    with _stored_dimension(sample) as dimension:
+        streams.start_driver_state(
+            sample.messages(stream=True), lambda: dimension, store,
+            new_scratch_path(spark, "stream-checkpoint"), trigger=ALL_NOW,
+            clock=lambda: oracle.FIRST_BATCH).awaitTermination()
     return store.read_state()
 
 
@@ -294,10 +303,11 @@ def _arrivals(sample: FleetSample) -> DataFrame:
 
 def _late_stream(spark: SparkSession, folder: str) -> tuple[StreamingQuery, str]:
     sample, path = FleetSample(spark, folder), new_scratch_path(spark, "late-events")
-    query = streams.start_driver_safety_current(
-        _arrivals(sample), sample.dimension, path, new_scratch_path(spark, "stream-checkpoint"),
-        trigger=ALL_NOW)
-    query.awaitTermination()
+    with _stored_dimension(sample) as dimension:
+        query = streams.start_driver_safety_current(
+            _arrivals(sample), lambda: dimension, path, new_scratch_path(spark, "stream-checkpoint"),
+            trigger=ALL_NOW)
+        query.awaitTermination()
     return query, path
 
 
@@ -330,9 +340,10 @@ def stream_state_of_batches(spark: SparkSession, folder: str) -> DataFrame:
     """The stored state when windows fill over several batches."""
     sample = FleetSample(spark, folder)
     store = DriverStateStore(spark, new_scratch_path(spark, "stream-state"))
-    streams.start_driver_state(
-        _arrivals(sample), sample.dimension, store, new_scratch_path(spark, "stream-checkpoint"),
-        trigger=ALL_NOW, clock=lambda: oracle.FIRST_BATCH).awaitTermination()
+    with _stored_dimension(sample) as dimension:
+        streams.start_driver_state(
+            _arrivals(sample), lambda: dimension, store, new_scratch_path(spark, "stream-checkpoint"),
+            trigger=ALL_NOW, clock=lambda: oracle.FIRST_BATCH).awaitTermination()
     return store.read_state()
 
 
@@ -341,9 +352,10 @@ def stream_audit_of_batches(spark: SparkSession, folder: str) -> DataFrame:
     """What each batch found: a row per window it touched, rated by its total so far."""
     sample = FleetSample(spark, folder)
     store = DriverStateStore(spark, new_scratch_path(spark, "stream-state"))
-    streams.start_driver_state(
-        _arrivals(sample), sample.dimension, store, new_scratch_path(spark, "stream-checkpoint"),
-        trigger=ALL_NOW, clock=lambda: oracle.FIRST_BATCH).awaitTermination()
+    with _stored_dimension(sample) as dimension:
+        streams.start_driver_state(
+            _arrivals(sample), lambda: dimension, store, new_scratch_path(spark, "stream-checkpoint"),
+            trigger=ALL_NOW, clock=lambda: oracle.FIRST_BATCH).awaitTermination()
     return store.read_audit()
 
 
@@ -352,18 +364,19 @@ def stream_state_as_emitted(spark: SparkSession, folder: str) -> DataFrame:
     """The same in update mode: a window counts as a whole each time it grows."""
     sample = FleetSample(spark, folder)
     store = DriverStateStore(spark, new_scratch_path(spark, "stream-state"))
-    streams.start_driver_state_as_emitted(
-        _arrivals(sample), sample.dimension(), store, new_scratch_path(spark, "stream-checkpoint"),
-        trigger=ALL_NOW, clock=lambda: oracle.FIRST_BATCH).awaitTermination()
+    with _stored_dimension(sample) as dimension:
+        streams.start_driver_state_as_emitted(
+            _arrivals(sample), dimension, store, new_scratch_path(spark, "stream-checkpoint"),
+            trigger=ALL_NOW, clock=lambda: oracle.FIRST_BATCH).awaitTermination()
     return store.read_state()
 
 
 def _changes(spark: SparkSession, folder: str) -> DataFrame:
     """Changes of all drivers, with cooldowns of an hour and a half."""
     sample, path = FleetSample(spark, folder), new_scratch_path(spark, "driver-changes")
-    with streams.rocksdb_state(spark):
+    with streams.rocksdb_state(spark), _stored_dimension(sample) as dimension:
         timers.start_driver_changes(
-            _arrivals(sample), sample.dimension(), path, new_scratch_path(spark, "stream-checkpoint"),
+            _arrivals(sample), dimension, path, new_scratch_path(spark, "stream-checkpoint"),
             cooldown_seconds=oracle.COOLDOWN_SECONDS, trigger=ALL_NOW).awaitTermination()
     return spark.read.schema(timers.CHANGES).parquet(path)
 

@@ -70,7 +70,8 @@ class FleetSample:
             "+ CASE WHEN event_id % 29 = 0 THEN 4 WHEN event_id % 17 = 0 THEN 1 ELSE 0 END)")
         lines = sent.select(F.to_json(F.struct(*columns)).alias("value"), arrival.alias("arrival"))
         for n in range(ARRIVALS):
-            lines.filter(F.col("arrival") == n).select("value").coalesce(1).write.text(f"{path}/{n}")
+            # one file, but read and filtered in as many tasks as the table has
+            lines.filter(F.col("arrival") == n).select("value").repartition(1).write.text(f"{path}/{n}")
         return f"{path}/*"
 
     def messages(self, stream: bool = False) -> DataFrame:

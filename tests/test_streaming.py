@@ -1,3 +1,4 @@
+import glob
 import itertools
 import json
 import os
@@ -14,6 +15,8 @@ from fleetgauge.settings import StreamSettings
 from fleetgauge.sources.streams import json_lines_source, kafka_source
 from fleetgauge.streaming import queries as sq
 from fleetgauge.streaming.supervision import await_outcomes, supervised
+from samples import queries as samples
+from samples.tables import TABLES, FleetSample
 
 DIMENSION = "vin STRING, driver_id STRING, daily_rate DOUBLE, region STRING"
 T0 = 1704067200
@@ -321,3 +324,38 @@ def test_kafka_options():
     limited = StreamSettings(max_offsets_per_trigger=500)
     assert kafka_source(session(), "host:1", "events", limited, "earliest") == wanted | {
         "startingOffsets": "earliest", "maxOffsetsPerTrigger": 500}
+
+
+def test_a_batch_over_many_hours_writes_a_file_an_hour(spark, source, dimension, folder):
+    source.send(*[message(f"V{n % 3 + 1}", n * 977 % 86400) for n in range(300)])
+    run(sq.start_driver_safety_current(source.stream(), lambda: dimension, f"{folder}/out",
+                                       f"{folder}/cp", trigger=ONCE, stream_id="fleet"))
+    files = glob.glob(f"{folder}/out/stream_id=fleet/batch_id=0/date=2024-01-01/hour=*/*.parquet")
+    assert len(files) == 24  # before, each of the four tasks had a file in every hour
+    columns = [c for c in tm.SAFETY_COLUMNS if c != "processing_ts"]
+    events = spark.read.parquet(f"{folder}/out")
+    assert values(events, *columns) == values(tm.driver_safety_status(source.batch(), dimension), *columns)
+
+
+def test_a_batch_within_an_hour_is_split(spark, source, dimension, folder):
+    source.send(*[message(f"V{n % 3 + 1}", n) for n in range(300)])
+    run(sq.start_driver_safety_current(source.stream(), lambda: dimension, f"{folder}/out",
+                                       f"{folder}/cp", trigger=ONCE, stream_id="fleet"))
+    files = glob.glob(f"{folder}/out/**/hour=0/*.parquet", recursive=True)
+    assert 1 < len(files) <= 4
+    assert spark.read.parquet(f"{folder}/out").count() == 300
+
+
+def test_stored_assignments_are_made_once_for_all_batches(spark, frame, folder, monkeypatch):
+    day = datetime(2024, 1, 1)
+    rows = {"events": [(n, n % 3) for n in range(600)],
+            "orders": [(n, n % 3, "O", day, "1-URGENT") for n in range(6)],
+            "customer": [(n, 0, 1.0, "A") for n in range(3)], "nation": [(0, 0)], "region": [(0, "N")]}
+    for name, schema in TABLES.items():
+        frame(schema, rows[name]).write.parquet(f"{folder}/{name}.parquet")
+    made, dimension = [], FleetSample.dimension
+    monkeypatch.setattr(FleetSample, "dimension", lambda self: made.append(1) or dimension(self))
+    events = samples.stream_late_events(spark, folder)
+    assert events.filter("driver_id IS NULL").count() == 0
+    assert events.select("batch_id").distinct().count() == 6
+    assert len(made) == 1  # once a batch before
