@@ -1,15 +1,14 @@
 """Driver state kept by Spark itself: a row per driver in the state store, cooldowns as timers.
 
 Windows close by the watermark in the JVM; Python sees one row for each closed window of a
-driver. There is no ledger and no job over all drivers: a cooldown that ends wakes its driver.
-Times are those of the events: a window is rated at its end.
+driver, and gives numbers for each change: times and texts are made of them in the JVM. There is
+no ledger and no job over all drivers: a cooldown that ends wakes its driver. Times are those of the events: a window is rated at its end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import asdict
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -34,6 +33,11 @@ CHANGES: StructType = table(
     **{f.name: f.dataType for f in DRIVER_RISK_STATE}, event_type=STRING, previous_status=STRING,
     strike_score=BIGINT, changed_ts=TIMESTAMP, step=BIGINT)
 
+#: What the workers know of a change; times in milliseconds, ``tier`` an index, highest first.
+#: ``lifted`` is set by a cooldown that ended, ``active`` also by the lowest tier.
+STEPS = ("driver_id string, total long, over long, zone long, tier int, active boolean, decay long, "
+         "cooldown long, first long, changed long, step long, lifted boolean, score long")
+
 # Event types and reasons of the audit log.
 EVALUATION, REINSTATEMENT = "RISK_EVALUATION", "AUTO_REINSTATEMENT"
 
@@ -50,9 +54,10 @@ def driver_changes(windows: DataFrame, settings: RiskSettings = RiskSettings(),
     # plain values, since workers need not have this library
     tiers = [asdict(t) for t in sorted(settings.tiers, key=lambda t: -t.floor)] + [
         asdict(settings.lowest_tier)]
-    allowance, names = settings.decay_allowance, CHANGES.names
+    allowance = settings.decay_allowance
     held = ("total int, over int, zone int, tier int, active boolean, decay int, cooldown long, "
             "first long, changed long, step int").replace(" int", " long")
+    change = Row(*[field.split()[0] for field in STEPS.split(", ")])
 
     class Drivers(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
@@ -60,13 +65,13 @@ def driver_changes(windows: DataFrame, settings: RiskSettings = RiskSettings(),
             self.state = handle.getValueState("driver", held)
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            now = self.state.get() if self.state.exists() else None
+            now = self.state.get()
             now = list(now) if now else None
-            for row in sorted(rows, key=lambda r: r["window_end"]):
-                end = _millis(row["window_end"])
+            for row in sorted(rows, key=lambda r: r["end"]):
+                end = row["end"]
                 if now and not now[4] and now[6] <= end:
                     now = _active(now)
-                    yield _change(key, now, REINSTATEMENT, "ACTIVE")
+                    yield _change(key, now, True)
                 score = row["total_strike_score"]
                 tier = next((i for i, t in enumerate(tiers) if score >= t["floor"]), len(tiers) - 1)
                 wait = cooldown_seconds if cooldown_seconds is not None else (
@@ -76,11 +81,11 @@ def driver_changes(windows: DataFrame, settings: RiskSettings = RiskSettings(),
                        old[2] + row["restricted_zone_events"], tier,
                        tiers[tier]["suspension_status"] == "ACTIVE", max(score - allowance, 0),
                        end + 1000 * wait, old[7], end, old[9] + 1]
-                yield _change(key, now, EVALUATION, "ACTIVE", score)
+                yield _change(key, now, False, score)
             if now and not now[4]:
                 if now[6] <= timerValues.getCurrentWatermarkInMs():
                     now = _active(now)
-                    yield _change(key, now, REINSTATEMENT, "ACTIVE")
+                    yield _change(key, now, True)
                 else:
                     self.handle.registerTimer(now[6])
             self.state.update(tuple(now))
@@ -91,40 +96,48 @@ def driver_changes(windows: DataFrame, settings: RiskSettings = RiskSettings(),
             if not now[4] and now[6] == expiredTimerInfo.getExpiryTimeInMs():
                 now = _active(now)
                 self.state.update(tuple(now))
-                yield _change(key, now, REINSTATEMENT, "ACTIVE")
+                yield _change(key, now, True)
 
         def close(self) -> None:
             pass
 
-    def _millis(when: datetime) -> int:
-        return round(when.timestamp() * 1000)
-
-    def _time(millis: int) -> datetime:
-        return datetime.fromtimestamp(millis / 1000, timezone.utc)
-
     def _active(now: list) -> list:
         return [*now[:4], True, now[5], now[6], now[7], now[6], now[9] + 1]
 
-    def _change(key, now: list, event: str, previous: str, score: int | None = None) -> Row:
-        total, over, zone, tier, active, decay, cooldown, first, changed, step = now
-        rated = tiers[tier]
-        lifted = active and rated["suspension_status"] != "ACTIVE"
-        values = {
-            "driver_id": key[0], "total_strike_score": total, "risk_category": rated["risk_category"],
-            "suspension_status": "ACTIVE" if lifted else rated["suspension_status"],
-            "suspension_reason": None if lifted else rated["suspension_reason"],
-            "cooldown_until": _time(cooldown), "warning_count": rated["warning_count"],
-            "suspension_count": rated["suspension_count"],
-            "reinstatement_eligible": 1 if lifted else rated["reinstatement_eligible"],
-            "strike_decay_score": decay, "total_overspeed_events": over,
-            "total_restricted_zone_events": zone, "last_event_ts": _time(first),
-            "updated_ts": _time(changed), "event_type": event,
-            "previous_status": rated["suspension_status"] if event == REINSTATEMENT else previous,
-            "strike_score": total if score is None else score, "changed_ts": _time(changed), "step": step}
-        return Row(*names)(*[values[n] for n in names])
-
-    return windows.filter(F.col("driver_id").isNotNull()).groupBy("driver_id").transformWithState(
-        statefulProcessor=Drivers(), outputStructType=CHANGES, outputMode="append", timeMode="eventtime")
+    def _change(key, now: list, lifted: bool, score: int | None = None) -> Row:
+        return change(key[0], *now, lifted, now[0] if score is None else score)
+
+    known = windows.filter(F.col("driver_id").isNotNull()).select(
+        "ended", F.unix_millis("window_end").alias("end"), "driver_id", "total_strike_score",
+        "overspeed_events", "restricted_zone_events")
+    steps = known.groupBy("driver_id").transformWithState(
+        statefulProcessor=Drivers(), outputStructType=STEPS, outputMode="append", timeMode="eventtime")
+    return _changes_of(steps, tiers)
+
+
+def _changes_of(steps: DataFrame, tiers: list[dict]) -> DataFrame:
+    """``STEPS`` with the texts of the tiers, as ``CHANGES``."""
+    rated = F.get(F.array(*[F.struct(*[F.lit(t[name]).alias(name) for name in (
+        "risk_category", "suspension_status", "warning_count", "suspension_count",
+        "reinstatement_eligible")], F.lit(t["suspension_reason"]).cast("string").alias("suspension_reason"))
+        for t in tiers]), F.col("tier"))
+    lifted, status = F.col("lifted"), rated["suspension_status"]
+    active, changed = F.lit("ACTIVE"), F.timestamp_millis("changed")
+    values = {
+        "driver_id": F.col("driver_id"), "total_strike_score": F.col("total"),
+        "risk_category": rated["risk_category"],
+        "suspension_status": F.when(lifted, active).otherwise(status),
+        "suspension_reason": F.when(~lifted, rated["suspension_reason"]),
+        "cooldown_until": F.timestamp_millis("cooldown"), "warning_count": rated["warning_count"],
+        "suspension_count": rated["suspension_count"],
+        "reinstatement_eligible": F.when(lifted, 1).otherwise(rated["reinstatement_eligible"]),
+        "strike_decay_score": F.col("decay"), "total_overspeed_events": F.col("over"),
+        "total_restricted_zone_events": F.col("zone"), "last_event_ts": F.timestamp_millis("first"),
+        "updated_ts": changed,
+        "event_type": F.when(lifted, REINSTATEMENT).otherwise(EVALUATION),
+        "previous_status": F.when(lifted, status).otherwise(active),
+        "strike_score": F.col("score"), "changed_ts": changed, "step": F.col("step")}
+    return steps.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in CHANGES])
 
 
 def closed_windows(messages: DataFrame, assignments: DataFrame, settings: RiskSettings = RiskSettings(),

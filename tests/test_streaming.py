@@ -14,6 +14,7 @@ from fleetgauge.plans.stores import DriverStateStore
 from fleetgauge.settings import StreamSettings
 from fleetgauge.sources.streams import json_lines_source, kafka_source
 from fleetgauge.streaming import queries as sq
+from fleetgauge.streaming import timers
 from fleetgauge.streaming.supervision import await_outcomes, supervised
 from samples import queries as samples
 from samples.tables import TABLES, FleetSample
@@ -346,6 +347,32 @@ def test_a_batch_within_an_hour_is_split(spark, source, dimension, folder):
     assert spark.read.parquet(f"{folder}/out").count() == 300
 
 
+def test_changes_by_timers_leave_texts_and_times_to_the_jvm(spark, source, dimension, folder):
+    """Nine overspeeds in the zone suspend D1; its cooldown of 40 minutes ends between two windows."""
+    source.send(*[message("V1", n) for n in range(9)], message("V3", 5, speed=90, lat=1.0))
+    source.send(message("V1", 7300, speed=90, lat=1.0))
+    source.send(message("V3", 20000))
+    with sq.rocksdb_state(spark):
+        windows = timers.closed_windows(source.stream(), dimension)
+        plan = timers.driver_changes(windows)._jdf.queryExecution().analyzed().toString()
+        run(timers.start_driver_changes(source.stream(), dimension, f"{folder}/out", f"{folder}/cp",
+                                        cooldown_seconds=2400, trigger=ONCE))
+    (step,) = [line for line in plan.splitlines() if "TransformWithState" in line]
+    assert "risk_category" not in step and "cooldown_until" not in step
+    got = spark.read.schema(timers.CHANGES).parquet(f"{folder}/out")
+    assert got.schema.names == timers.CHANGES.names
+    assert values(got.filter("driver_id = 'D1'"), "step", "event_type", "previous_status", "suspension_status",
+                  "suspension_reason", "total_strike_score", "strike_score", "strike_decay_score",
+                  "reinstatement_eligible", "changed_ts", "cooldown_until") == [
+        (1, "RISK_EVALUATION", "ACTIVE", "SUSPENDED_7D", "Critical repeat offender", 27, 27, 25, 0,
+         datetime(2024, 1, 1, 0, 30), datetime(2024, 1, 1, 1, 10)),
+        (2, "AUTO_REINSTATEMENT", "SUSPENDED_7D", "ACTIVE", None, 27, 27, 25, 1,
+         datetime(2024, 1, 1, 1, 10), datetime(2024, 1, 1, 1, 10)),
+        (3, "RISK_EVALUATION", "ACTIVE", "ACTIVE", None, 27, 0, 0, 1,
+         datetime(2024, 1, 1, 2, 30), datetime(2024, 1, 1, 3, 10))]
+    assert values(got.filter("driver_id = 'D2'"), "step", "suspension_status") == [(1, "ACTIVE")]
+
+
 def test_stored_assignments_are_made_once_for_all_batches(spark, frame, folder, monkeypatch):
     day = datetime(2024, 1, 1)
     rows = {"events": [(n, n % 3) for n in range(600)],
