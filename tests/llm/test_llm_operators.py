@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -247,6 +248,35 @@ def test_quality_ratio_counts_every_gram_and_growth_keeps_the_verdicts(spark, fr
     assert (again.set_index("doc_id").ratio - got.ratio).abs().max() < 1e-8
 
 
+def test_quality_ranges_give_equal_ratios_and_leave_no_shuffle_files(spark, frame, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 400, 80))) for i in range(600)]
+    rows += [(None, rows[0][1]), (0, rows[0][1]), (601, None), (602, "one")]
+    docs = frame("doc_id BIGINT, text STRING", rows).repartition(8)
+    labelled = frame(LABELS, [(i, i % 2, 0) for i in range(600)] + [(602, 1, 0)])
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: files.getAllFiles().mkString(" ").count("/shuffle_")
+    real, left = quality_rules.stage, {}
+
+    def stage(df, name, *options):
+        before, out = shuffled(), real(df, name, *options)
+        deadline = time.monotonic() + 10
+        while shuffled() > before and time.monotonic() < deadline:
+            time.sleep(0.1)
+        left[name] = max(left.get(name, 0), shuffled() - before)
+        return out
+
+    monkeypatch.setattr(quality_rules, "stage", stage)
+    ratios = lambda settings: values(
+        quality_rules.judge_quality(docs, labelled, settings), "doc_id", "n_words", "ratio", "kept")
+    whole = ratios(quality_rules.QualitySettings())
+    monkeypatch.setattr(quality_rules, "BROADCAST_BYTES", 0)
+    assert ratios(quality_rules.QualitySettings(frequent=50, ranges=5)) == whole
+    assert len({r[2] for r in whole if r[0] in (None, 0)}) == 1 and len({r[2] for r in whole}) > 500
+    assert {k: n for k, n in left.items() if k.startswith("gram-") and n > 0} == {}
+    assert "gram-sums" in left
+
+
 def plain_simhash(text):
     words = (text or "").encode().lower().split()
     if not words:
