@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -360,6 +361,23 @@ def test_repeats_inside_periodic_texts(frame):
     assert {r.doc_id: tuple(r[1:]) for r in got.collect()} == plain_repeats([(i, t.encode()) for i, t in rows], 40)
 
 
+def test_contexts_are_sorted_in_bounded_memory():
+    rng = np.random.default_rng(3)
+    text = lambda n: rng.integers(97, 123, n, np.uint8).tobytes()
+    pieces = [p for a in (text(736) for _ in range(3000)) for p in (a, a[:500] + text(236))]
+    suffix_dedup._powers.cache_clear()
+    tracemalloc.start()
+    try:
+        found = list(suffix_dedup.repeated_windows(
+            np.repeat(np.arange(3000), 2), pieces, np.full(6000, 336), suffix_dedup.RepeatSettings()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # the next bytes may be equal by chance
+    assert len(found) == 6000 and all(a == 0 and 100 <= b < 110 for _, a, b in found)
+    assert peak < 40 * sum(map(len, pieces))
+
+
 def test_mix_comes_near_its_targets(spark):
     docs = table(spark, "documents")
     mixed = mixing.mix_copies(docs).toPandas()
